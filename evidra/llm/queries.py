@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, merkle, packing, pii, resampling
+from . import chat_format, exact_dedup, merkle, near_dedup, packing, pii, resampling
 from .common import Scratch, table
 
 
@@ -29,6 +29,11 @@ def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "log_weight", F.col("key").alias("gumbel_key"), "kept")
 
 
+def op3_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.groups(table(spark, sf_dir, "documents"), Scratch(spark), width=2)
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -51,7 +56,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(n, pii.KINDS), F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"), F.coalesce(F.array_max(F.col("spans")["score"]), F.lit(0.0)).alias("top_score"))
 
 
-QUERIES = {f.__name__: f for f in (op2_importance_resampling, op4_best_fit_packing, op7_merkle_fingerprint, op8_pii, op9_chat_format, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_importance_resampling, op3_lsh_forest, op4_best_fit_packing, op7_merkle_fingerprint, op8_pii, op9_chat_format, op10_exact_dedup)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES = {
