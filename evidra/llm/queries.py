@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, merkle, near_dedup, packing, pii, resampling
+from . import chat_format, exact_dedup, language, merkle, mixing, near_dedup, packing, pii, resampling
 from .common import Scratch, table
 
 
@@ -24,6 +24,12 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op1_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.memberships(table(spark, sf_dir, "documents"), Scratch(spark))
+    best = F.array_max(F.transform(F.map_entries("posterior"), lambda e: F.struct(e["value"].alias("p"), e["key"].alias("d"))))
+    return found.select("doc_id", "tokens", best["d"].alias("domain"), best["p"].alias("posterior"), "rate", "copies")
+
+
 def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = resampling.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Scratch(spark))
     return found.select(F.col("id").alias("doc_id"), "log_weight", F.col("key").alias("gumbel_key"), "kept")
@@ -44,6 +50,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op5_language_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs, language.train(docs))
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op7_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compare_edits(table(spark, sf_dir, "documents"))
 
@@ -56,7 +68,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(n, pii.KINDS), F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"), F.coalesce(F.array_max(F.col("spans")["score"]), F.lit(0.0)).alias("top_score"))
 
 
-QUERIES = {f.__name__: f for f in (op2_importance_resampling, op3_lsh_forest, op4_best_fit_packing, op7_merkle_fingerprint, op8_pii, op9_chat_format, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_soft_mixing, op2_importance_resampling, op3_lsh_forest, op4_best_fit_packing, op5_language_field, op7_merkle_fingerprint, op8_pii, op9_chat_format, op10_exact_dedup)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES = {
