@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, language, merkle, mixing, near_dedup, packing, pii, resampling
+from . import chat_format, exact_dedup, language, merkle, mixing, near_dedup, packing, passages, pii, resampling
 from .common import Scratch, table
 
 
@@ -56,6 +56,10 @@ def op5_language_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op6_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passages(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 def op7_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compare_edits(table(spark, sf_dir, "documents"))
 
@@ -68,7 +72,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(n, pii.KINDS), F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"), F.coalesce(F.array_max(F.col("spans")["score"]), F.lit(0.0)).alias("top_score"))
 
 
-QUERIES = {f.__name__: f for f in (op1_soft_mixing, op2_importance_resampling, op3_lsh_forest, op4_best_fit_packing, op5_language_field, op7_merkle_fingerprint, op8_pii, op9_chat_format, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_soft_mixing, op2_importance_resampling, op3_lsh_forest, op4_best_fit_packing, op5_language_field, op6_compact_windows, op7_merkle_fingerprint, op8_pii, op9_chat_format, op10_exact_dedup)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES = {
