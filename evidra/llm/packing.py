@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -90,13 +91,19 @@ class Encoder:
             return b"".join(map(self.ids.__getitem__, parts))
 
 
+@lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """One a worker: what it has learnt serves its later tasks."""
+    return Encoder(path)
+
+
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """Each document's pieces: doc_id, piece, start, length, ids_crc32 and, if asked for, ids (little-endian 32-bit)."""
 
     def cut(batches):
         import pyarrow as pa
 
-        encode, end, step = Encoder(tokenizer), END_ID.to_bytes(4, "little"), 4 * capacity
+        encode, end, step = encoder(tokenizer), END_ID.to_bytes(4, "little"), 4 * capacity
         for b in batches:
             out = []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
