@@ -1,7 +1,7 @@
 """Best-fit packing: hierarchical residual packing of token pieces into sequences of bounded length.
 
 Each document's tokens, with an end token, are cut into pieces of the capacity only where they are
-longer. Every task packs its pieces best-fit, longest first. Bins whose gap is smaller than the least
+longer. Every task packs up to ITEMS pieces best-fit, longest first. Bins whose gap is smaller than the least
 filled bin are done; the others are items for the next round, in which tasks of at most ITEMS items
 pack them again. Rounds go on until one task held all that was left, or they stop to save bins.
 
@@ -166,7 +166,7 @@ def _packed(rows: DataFrame, capacity: int) -> DataFrame:
 
 def pack(items: DataFrame, scratch: Scratch, capacity: int = CAPACITY) -> DataFrame:
     """items (with a length of at most the capacity) with sequence_id and offset."""
-    first = scratch.save(_packed(items, capacity), "packed")
+    first = scratch.save(_packed(items.coalesce(max(1, -(-items.count() // ITEMS))), capacity), "packed")
     bins = scratch.save(first.groupBy("bin").agg(F.sum("length").alias("length")), "bins")
     moved, n, turn = None, None, 0
     while True:

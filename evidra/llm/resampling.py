@@ -129,7 +129,8 @@ def bound(labels: list[tuple[int, float]]) -> tuple[float, float] | None:
         return None
     at = np.unique(np.concatenate([good, bad]))
     lost = GOOD_COST * np.searchsorted(good, at) / len(good) + 1 - np.searchsorted(bad, at) / len(bad)
-    best = float(at[np.argmin(lost)])
+    i = int(np.argmin(lost))
+    best = float(at[max(0, i - 1)] + at[i]) / 2  # midway to the next lower weight: labelled texts sit higher than others like them
     return best, max(1e-9, float(np.median(good)) - best) / SHARPNESS
 
 
