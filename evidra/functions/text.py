@@ -135,13 +135,13 @@ def redact_paths(text: Column, workspaces: list[str] = ()) -> Column:
 
 def csv_tokens(text: Column) -> Column:
     """Comma-separated tokens; none, n/a and - mean no token."""
-    parts = F.transform(F.split(F.coalesce(text, F.lit("")), "[,，]"), F.btrim)
+    parts = F.transform(F.split(F.coalesce(text, F.lit("")), "[,，]"), lambda p: F.btrim(p))
     return F.filter(parts, lambda p: (p != "") & ~F.lower(p).isin("none", "n/a", "-"))
 
 
 def assignments(text: Column) -> Column:
     """key=value;... as a map; null if a key repeats or a key or value is missing."""
-    parts = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), ";"), F.btrim), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), ";"), lambda p: F.btrim(p)), lambda p: p != "")
     keys = F.transform(parts, lambda p: F.btrim(F.substring_index(p, "=", 1)))
     values = F.transform(parts, lambda p: F.when(p.contains("="), F.btrim(F.substring(p, F.locate("=", p) + 1, F.length(p)))).otherwise(""))
     ok = ~F.exists(keys, lambda k: k == "") & ~F.exists(values, lambda v: v == "") & (F.size(F.array_distinct(keys)) == F.size(keys))

@@ -192,7 +192,7 @@ def acceptance_items(lines: DataFrame, contracts: list[str]) -> DataFrame:
     cells = F.transform(F.split(F.regexp_replace(F.btrim("line"), r"^\||\|$", ""), r"\|"), lambda c: F.regexp_replace(F.btrim(c), "^`+|`+$", ""))
     t = lines.withColumn("c", cells).where((F.size("c") == 4) & F.get("c", F.lit(0)).rlike(r"^a\d+$"))
     get = lambda i: F.get("c", F.lit(i))
-    t = t.select("task", get(0).alias("id"), get(1).alias("requirement"), F.transform(F.split(get(2), ","), F.btrim).alias("basis"), get(3).alias("check"))
+    t = t.select("task", get(0).alias("id"), get(1).alias("requirement"), F.transform(F.split(get(2), ","), lambda x: F.btrim(x)).alias("basis"), get(3).alias("check"))
     tests = F.when(F.col("check").startswith("test:"), F.transform(F.split(F.substring("check", 6, 100_000), ","), lambda x: F.regexp_replace(F.btrim(x), "^`+|`+$", ""))).when(F.col("check").startswith("command:"), F.array(F.concat(F.lit("command::"), F.btrim(F.substring("check", 9, 100_000))))).otherwise(F.array().cast("array<string>"))
     t = t.withColumn("tests", tests)
     again = F.count("*").over(Window.partitionBy("task", "id")) > 1
