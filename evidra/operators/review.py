@@ -208,10 +208,83 @@ def uncovered_contracts(items: DataFrame, contracts: DataFrame) -> DataFrame:
     return contracts.where("active").join(cited, ["task", "id"], "left_anti").select("task", "id")
 
 
-def admitted(verdict: Column, baseline_failed: Column, solver_passed: Column, regression_passed: Column, mutations_caught: Column) -> Column:
-    """A model's PASS counts only if the tests agree: the baseline fails, the reference solver and regressions pass, mutations are caught."""
-    t = lambda c: F.coalesce(c, F.lit(False))
-    return t(verdict == "PASS") & t(baseline_failed) & t(solver_passed) & t(regression_passed) & t(mutations_caught)
+def admitted(said: dict[str, Column], baseline: Column, reference: Column, skipped: Column) -> Column:
+    """Whether a task counts. said: BASELINE, REFERENCE, VERDICT, COVERAGE, MUTATIONS, TESTS as the validator put them.
+
+    A model's word never overrides a test: executable tests must fail before and pass after, without skips, with mutations caught.
+    """
+    word = lambda k, *v: F.coalesce(said[k].isin(*v), F.lit(False))
+    agreed = word("BASELINE", "unmet") & word("REFERENCE", "pass") & word("VERDICT", "accept") & word("COVERAGE", "complete")
+    sound = ~word("MUTATIONS", "missed") & (baseline != "error") & ~reference.isin("failed", "error")
+    run = (baseline == "failed") & (reference == "passed") & (F.coalesce(skipped, F.lit(0)) == 0) & word("MUTATIONS", "caught")
+    return agreed & sound & F.when(word("TESTS", "executable"), run).otherwise(word("TESTS", "partial", "unavailable") & word("MUTATIONS", "caught", "unavailable"))
+
+
+# The checks of a single review.
+CHECKS = "evidence_supported version_consistent unambiguous difficulty_justified not_answer_leaking natural_wording practical_useful answer_complete atomic_points_correct type_correct".split()
+CODE_CHECKS = "history_requirement_correct current_snapshot_alone_sufficient history_evidence_required".split()
+CAUSAL = "(?iu)为什么|为何|原因|导致|why|cause"
+
+
+def single_review(reviews: DataFrame) -> DataFrame:
+    """reviews (qa_mode, track, question, reason, checks map of booleans) with status and failed: one decision over all checks.
+
+    A missing check, or a reason or a second flag that contradicts one, waits for review; a false one rejects.
+    """
+    c = lambda k: F.try_element_at("checks", F.lit(k))
+    code, causal = F.coalesce("qa_mode", F.lit("code")) == "code", F.coalesce(F.col("question").rlike(CAUSAL), F.lit(False))
+    need = F.concat(F.array(*map(F.lit, CHECKS)), F.when(causal, F.array(F.lit("causal_support"))).otherwise(F.array().cast("array<string>")), F.when(code, F.array(*map(F.lit, CODE_CHECKS))).otherwise(F.array().cast("array<string>")))
+    missing = F.filter(need, lambda k: F.try_element_at("checks", k).isNull())
+    yes = F.filter(F.array(*map(F.lit, CHECKS)), lambda k: ~F.coalesce(F.try_element_at("checks", k), F.lit(False)))
+    failed = F.concat(yes, F.when(causal & (c("causal_support") == F.lit(False)), F.array(F.lit("causal_support"))).otherwise(F.array().cast("array<string>")))
+    alone, history = c("current_snapshot_alone_sufficient"), c("history_evidence_required")
+    track = ((F.col("track") == "history_core") & ~alone & history) | ((F.col("track") == "inference_control") & alone & ~history)
+    hist, why = c("history_requirement_correct"), F.coalesce("reason", F.lit(""))
+    conflict = (hist & why.rlike("(?iu)应为\\s*false|should be false|不符合.*(?:history|历史)|不成立")) | (~hist & why.rlike("(?iu)符合|正确|consistent|satisfied") & ~why.rlike("(?iu)不符合|不正确|not\\s+(?:consistent|satisfied)")) | (c("type_correct") != c("category_correct"))
+    valid = (F.size(failed) == 0) & F.coalesce(c("qa_mode_correct"), F.lit(True)) & (~code | F.coalesce(hist & track, F.lit(False))) & (F.btrim(why) != "")
+    s = F.when((F.size(missing) > 0) | F.coalesce(conflict, F.lit(False)), "needs_review").when(valid, "approved").otherwise("rejected")
+    return reviews.withColumn("status", s).withColumn("missing", missing).withColumn("failed", failed)
+
+
+def freeze_contracts(contracts: DataFrame, events: DataFrame) -> DataFrame:
+    """contracts (task, ord, id, statement, scope, behavior, sources, supersedes, active yes or no, repository) with at and error.
+
+    Sources must be events (task, id, ord); what is superseded must be defined before and cite only earlier events.
+    """
+    cited = contracts.select("task", F.col("id").alias("cid"), "ord", F.explode_outer("sources").alias("id")).join(events.select("task", "id", F.col("ord").alias("at")), ["task", "id"], "left")
+    c = cited.groupBy("task", F.col("cid").alias("id"), "ord").agg(F.max("at").alias("at"), F.bool_and(F.col("at").isNotNull()).alias("found"))
+    j = contracts.join(c, ["task", "id", "ord"])
+    old = j.select("task", F.col("id").alias("prior"), F.col("ord").alias("prior_ord"), F.col("at").alias("prior_at"))
+    sup = j.select("task", "id", "ord", "at", F.explode("supersedes").alias("prior")).join(old, ["task", "prior"], "left").groupBy("task", "id", "ord").agg(F.bool_and(F.coalesce(F.col("prior_ord") < F.col("ord"), F.lit(False))).alias("known"), F.bool_and(F.coalesce(F.col("at") > F.col("prior_at"), F.lit(False))).alias("later"))
+    j = j.join(sup, ["task", "id", "ord"], "left")
+    blank = F.lit(False)
+    for col in ("statement", "scope", "behavior"):
+        blank = blank | (F.coalesce(F.btrim(col), F.lit("")) == "")
+    first = F.row_number().over(Window.partitionBy("task", "id").orderBy("ord")) == 1
+    bad = (F.coalesce("id", F.lit("")) == "") | ~first | ~F.coalesce("found", F.lit(False)) | blank | ~F.coalesce("known", F.lit(True)) | ~F.coalesce(F.col("active").isin("yes", "no"), F.lit(False)) | ~F.coalesce(F.col("repository").isin("recoverable", "external", "uncertain"), F.lit(False))
+    e = F.when(bad, "Invalid historical contract or public source reference").when(~F.coalesce("later", F.lit(True)), "Historical replacement must cite a later public event")
+    return j.withColumn("error", e).drop("found", "known", "later")
+
+
+def contract_errors(frozen: DataFrame) -> DataFrame:
+    """Tasks whose contracts cannot be used: a faulty one, none active, or an active one that is not external."""
+    g = frozen.groupBy("task").agg(F.first("error", True).alias("error"), F.count_if(F.col("active") == "yes").alias("live"), F.count_if((F.col("active") == "yes") & (F.col("repository") != "external")).alias("inside"))
+    return g.select("task", F.coalesce("error", F.when((F.col("live") == 0) | (F.col("inside") > 0), "Main historical tasks require active external rules")).alias("error")).where("error is not null")
+
+
+def history_review(contracts: DataFrame, items: DataFrame) -> DataFrame:
+    """(task, id, status): not_applicable, violated, applied or insufficient, from the acceptance items (task, basis, status) based on each contract."""
+    b = items.select("task", "status", F.explode("basis").alias("id"))
+    g = b.groupBy("task", "id").agg(F.bool_or(F.col("status") == "failed").alias("bad"), F.bool_and(F.col("status") == "passed").alias("good"))
+    return contracts.join(g, ["task", "id"], "left").select("task", "id", F.when(F.col("active") != "yes", "not_applicable").when(F.col("bad"), "violated").when(F.col("good"), "applied").otherwise("insufficient").alias("status"))
+
+
+def oracle_coverage(contracts: DataFrame, quotes: DataFrame, answer: str) -> DataFrame:
+    """(task, covered): every active contract has exactly one quote (task, id, coverage, quote), complete and found in the answer."""
+    q = quotes.groupBy("task", "id").agg(F.count("*").alias("n"), F.first("coverage").alias("coverage"), F.first("quote").alias("quote"))
+    j = contracts.where("active = 'yes'").join(q, ["task", "id"], "left")
+    ok = (F.col("n") == 1) & (F.col("coverage") == "complete") & (F.btrim("quote") != "") & F.lit(answer).contains(F.col("quote"))
+    return j.groupBy("task").agg(F.bool_and(F.coalesce(ok, F.lit(False))).alias("covered"))
 
 
 def junit_cases(reports: DataFrame, xml: str = "xml") -> DataFrame:

@@ -269,3 +269,45 @@ def test_artifacts(spark, tmp_path):
         artifacts.save_new(df, str(tmp_path / "p/pool"))
     rec = artifacts.convert(dialogue.read_dialogue(spark, write(tmp_path, "m.json", json.dumps([{"role": "user", "content": "a"}]))), str(tmp_path / "rec"))
     assert rec.head().records == 1
+
+
+def test_reports(spark):
+    from evidra.operators import reports
+
+    facts = spark.createDataFrame([("s", "f1", "see e1 and e1-x", ["e1"]), ("s", "f2", "leaks e9", ["e1"]), ("s", "f3", "h " + "a" * 40, ["e1"])], "session_id string, id string, statement string, sources array<string>")
+    refs = spark.createDataFrame([("s", "e1", "资料1")], "session_id string, source string, ref string")
+    assert {(r.id, r.statement) for r in reports.safe_facts(facts, refs).collect()} == {("f1", "see 资料1 and e1-x")}
+    claims = spark.createDataFrame([("a", "/w/x.py:2-3"), ("b", "/w/x.py:9"), ("c", "none"), ("d", "/q:1")], "id string, value string")
+    files = spark.createDataFrame([("/w/x.py", 5)], "path string, lines int")
+    assert {r.id for r in reports.artifact_evidence(claims, files).where("ok").collect()} == {"a"}
+    j = spark.range(1).select(reports.viewer_json(F.struct(F.lit("<b>\u2028 c").alias("x"))).alias("j")).head().j
+    assert j == '{"x":"\\u003cb>\\u2028 c"}'
+    q = spark.createDataFrame([("q1", "approved", "t"), ("q2", "approved", "t"), ("q3", "rejected", "t")], "id string, status string, type string")
+    assert [r.id for r in reports.join_qa_inputs(q, spark.createDataFrame([("q1", 1)], "id string, request int"), ["t"]).collect()] == ["q1"]
+    snap = spark.createDataFrame([("s", 1, "a"), ("s", 2, "a"), ("s", 3, "b")], "session_id string, ord int, files string")
+    assert [r.ord for r in reports.files_changed(snap).orderBy("ord").collect()] == [1, 3]
+
+
+def test_single_review_and_admission(spark):
+    good = {k: True for k in review.CHECKS}
+    rows = [
+        ("a", "general", None, "what?", "fine", good), ("b", "general", None, "why?", "fine", good), ("c", "general", None, "what?", "fine", good | {"unambiguous": False}), ("d", "general", None, "what?", "", good),
+        ("e", "code", "history_core", "what?", "fine", good | {"history_requirement_correct": True, "current_snapshot_alone_sufficient": False, "history_evidence_required": True}),
+        ("f", "code", "history_core", "what?", "should be false", good | {"history_requirement_correct": True, "current_snapshot_alone_sufficient": False, "history_evidence_required": True})]
+    df = spark.createDataFrame(rows, "id string, qa_mode string, track string, question string, reason string, checks map<string,boolean>")
+    assert {r.id: r.status for r in review.single_review(df).collect()} == {"a": "approved", "b": "needs_review", "c": "rejected", "d": "rejected", "e": "approved", "f": "needs_review"}
+    keys = ["BASELINE", "REFERENCE", "VERDICT", "COVERAGE", "MUTATIONS", "TESTS"]
+    t = spark.createDataFrame([("unmet", "pass", "accept", "complete", "caught", "executable", "failed", "passed", 0), ("unmet", "pass", "accept", "complete", "caught", "executable", "failed", "failed", 0), ("unmet", "pass", "accept", "complete", "unavailable", "partial", "passed", "unavailable", 0), ("unmet", "pass", "accept", None, "caught", "executable", "failed", "passed", 0)], [*keys, "b", "r", "k"])
+    assert [r.a for r in t.select(review.admitted({k: F.col(k) for k in keys}, F.col("b"), F.col("r"), F.col("k")).alias("a")).collect()] == [True, False, True, False]
+
+
+def test_history_contracts(spark):
+    ev = spark.createDataFrame([(1, "x", 1), (1, "y", 5)], "task int, id string, ord int")
+    c = spark.createDataFrame([(1, 1, "c1", "s", "s", "b", ["x"], [], "no", "external"), (1, 2, "c2", "s", "s", "b", ["y"], ["c1"], "yes", "external"), (2, 1, "c1", "s", "s", "b", ["zz"], [], "yes", "external"), (3, 1, "c1", "s", " ", "b", ["zz"], [], "yes", "external")], "task int, ord int, id string, statement string, scope string, behavior string, sources array<string>, supersedes array<string>, active string, repository string")
+    f = review.freeze_contracts(c, ev)
+    assert {(r.task, r.id): r.error is None for r in f.collect()} == {(1, "c1"): True, (1, "c2"): True, (2, "c1"): False, (3, "c1"): False}
+    assert {r.task for r in review.contract_errors(f).collect()} == {2, 3}
+    back = c.where("task = 1").withColumn("supersedes", F.when(F.col("id") == "c1", F.array(F.lit("c2"))).otherwise(F.array().cast("array<string>")))
+    assert {r.id for r in review.freeze_contracts(back, ev).where("error is not null").collect()} == {"c1"}
+    q = spark.createDataFrame([(1, "c2", "complete", "ans")], "task int, id string, coverage string, quote string")
+    assert review.oracle_coverage(c.where("task = 1"), q, "the answer").head().covered and not review.oracle_coverage(c.where("task = 1"), q, "other").head().covered

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from evidra.plans import corpus_queries, dialogue_queries, event_queries  # noqa: F401
+from evidra.plans import corpus_queries, dialogue_queries, event_queries, report_queries  # noqa: F401
 from evidra.plans.registry import ORACLES, QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
