@@ -311,3 +311,43 @@ def test_history_contracts(spark):
     assert {r.id for r in review.freeze_contracts(back, ev).where("error is not null").collect()} == {"c1"}
     q = spark.createDataFrame([(1, "c2", "complete", "ans")], "task int, id string, coverage string, quote string")
     assert review.oracle_coverage(c.where("task = 1"), q, "the answer").head().covered and not review.oracle_coverage(c.where("task = 1"), q, "other").head().covered
+
+
+def test_object_matches_and_guards(spark):
+    e = spark.createDataFrame([("s", "f1", ["a.py::run"], ["e1"]), ("s", "f2", ["a.py"], ["e2"]), ("s", "f3", ["run"], ["e2"]), ("s", "f4", ["run"], ["e9"]), ("s", "f5", ["b.py"], ["e2"])], "session_id string, entry string, objects array<string>, sources array<string>")
+    w = spark.createDataFrame([("s", "a.py::Run")], "session_id string, object string")
+    assert {r.entry for r in evidence.match_objects(e, w).collect()} == {"f1", "f2", "f3"}
+    c = spark.createDataFrame([("s", "a", 5, "q", ["e1"], 10), ("s", "b", 5, "q", ["zz"], 10), ("s", "c", 5, "q", ["e9"], 10), ("s", "d", 5, "修复后", ["e1"], 10), ("s", "e", 5, "q", ["e1"], 999), ("s", "f", 5, "q", [], 1)], "session_id string, id string, cutoff int, question string, sources array<string>, size int")
+    scope = spark.createDataFrame([("s", "e1", 1), ("s", "e9", 9)], "session_id string, source string, ord int")
+    kept = spark.createDataFrame([("s", "a", "e1")], "session_id string, id string, source string")
+    assert {r.id: r.guard for r in evidence.candidate_guard(c, scope, kept, 100).collect()} == {"a": "complete", "b": "unknown_source", "c": "source_after_cutoff", "d": "historical_event_not_held", "e": "over_budget", "f": "no_sources"}
+
+
+def test_static_checks_expansion_and_guards(spark):
+    g = spark.createDataFrame([("s", "g1", "f1", ["e1"], True), ("s", "g2", "f2", ["e1", "e2"], True), ("s", "g3", "f1", ["e1"], False), ("s", "g4", "f1", ["e1"], True)], "session_id string, group string, fact string, sources array<string>, complete boolean")
+    c = spark.createDataFrame([("s", "g1", "e1"), ("s", "g2", "e1"), ("s", "g3", "e1"), ("s", "g4", "e1"), ("s", "g4", "zz")], "session_id string, group string, source string")
+    sc = spark.createDataFrame([("s", "e1"), ("s", "e2")], "session_id string, source string")
+    assert {r.group: r.status for r in evidence.static_check(g, c, sc).collect()} == {"g1": "supported", "g2": "insufficient", "g3": "unknown", "g4": "insufficient"}
+    ch = spark.createDataFrame([("g", i, f"e{i:02}", 50 if i < 3 else 10) for i in range(15)], "group string, rank int, source string, size_after int")
+    got = {r.source: r.audit for r in evidence.expand_once(ch, ["group"], 20).collect()}
+    assert got["e02"] == "over_budget" and got["e03"] == "applied" and got["e14"] == "not_tried" and list(got.values()).count("applied") == 1
+    base = spark.createDataFrame([("s", "g", "f1")], "session_id string, group string, fact string")
+    links = spark.createDataFrame([("s", "f1", "f2", True), ("s", "f2", "f3", False), ("s", "f3", "f4", False), ("s", "f3", "f5", True)], "session_id string, a string, b string, anchor boolean")
+    assert {r.fact for r in evidence.guard_closure(base, links).collect()} == {"f1", "f2", "f3"}
+
+
+def test_windowed_counts_and_replenish_stream(spark, tmp_path):
+    ev = spark.createDataFrame([("a", "2024-01-01 00:10:00"), ("a", "2024-01-01 00:20:00"), ("b", "2024-01-01 01:10:00"), ("z", "2024-01-09 00:00:00")], "event_type string, t string").select("event_type", F.to_timestamp("t").alias("ts"))
+    ev.coalesce(1).write.parquet(str(tmp_path / "ev"))
+    q = streaming.stage_counts_stream(spark.readStream.schema(ev.schema).parquet(str(tmp_path / "ev"))).writeStream.format("memory").queryName("counts_out").outputMode("append").option("checkpointLocation", str(tmp_path / "c1")).start()
+    q.processAllAvailable()
+    q.stop()
+    assert {(r.event_type, r.n) for r in spark.table("counts_out").collect()} >= {("a", 2), ("b", 1)}
+    c = cands(spark)
+    for i in (1, 2, 3):
+        c.where(f"ord % 3 = {i % 3}").coalesce(1).write.mode("append").parquet(str(tmp_path / "cand"))
+    s = streaming.replenish_stream(spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "cand")), str(tmp_path / "out"), str(tmp_path / "c2"), {"code": 2}, lambda o, lim: selection.novelty_select(o, lim)).start()
+    s.processAllAvailable()
+    s.stop()
+    got = {(r.id, r.selection_status) for r in spark.read.parquet(str(tmp_path / "out/selected")).collect()}
+    assert got == {(r.id, r.selection_status) for r in selection.novelty_select(c, {"code": 2}).collect()}
