@@ -10,6 +10,8 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import ready
+
 #: The six ASCII white-space characters, as a Java and RE2 character class.
 SPACES = r"[\x20\x09-\x0D]+"
 #: A join side of at most so many bytes may be broadcast; beyond it the join shuffles.
@@ -32,6 +34,7 @@ class Scratch:
     """Tables written to the shared folder, which cut lineage and survive lost executors."""
 
     def __init__(self, spark: SparkSession):
+        ready(spark)
         self.spark = spark
         self.root = f"{scratch_root(spark)}/evidra-{uuid.uuid4().hex}"
         atexit.register(self.drop)
