@@ -176,8 +176,8 @@ def predict(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_c
             for a, z, data, bounds in W.texts(b.column(1), GROUP):
                 e, first, where = [], [0], []
                 lo = 0
-                while lo < z - a:  # emissions by the megabyte, forward-backward over the whole group
-                    hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + (1 << 20), "right")) - 1)
+                while lo < z - a:  # emissions by the half megabyte, forward-backward over the whole group
+                    hi = max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + (1 << 19), "right")) - 1)
                     f = featurize(data[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo])
                     e.append(model.emissions(f))
                     first += (f[5][1:] + first[-1]).tolist()

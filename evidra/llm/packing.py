@@ -27,7 +27,7 @@ CAPACITY, END_ID = 2048, 0
 #: The most items that one task packs at a time.
 ITEMS = 250_000
 #: Words, and as many distinct strings between spaces, whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -104,15 +104,17 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
         import pyarrow as pa
 
         encode, end, step = encoder(tokenizer), END_ID.to_bytes(4, "little"), 4 * capacity
+        names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         for b in batches:
-            out = []
+            cols: list[list] = [[] for _ in names]
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
                 ids = encode(text.as_py() or "") + end
-                out += [(doc, i // step, i // 4, len(part) // 4, zlib.crc32(part), part) for i in range(0, len(ids), step) for part in (ids[i : i + step],)]
-            doc, piece, start, length, crc, part = zip(*out) if out else ((),) * 6
-            cols = [pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(part, pa.binary())] if with_ids else cols, [*names, "ids"] if with_ids else names)
+                for i in range(0, len(ids), step):
+                    part = ids[i : i + step]
+                    for c, v in zip(cols, (doc, i // step, i // 4, len(part) // 4, zlib.crc32(part), part)):
+                        c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(cut, PIECES + (", ids binary" if with_ids else ""))
 

@@ -82,8 +82,8 @@ def shingles(h: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray,
     return out, begin
 
 
-def texts(batch_column, limit: int = 1 << 20):
-    """(first row, last row, bytes, bounds) of an Arrow string column, cut at about `limit` bytes; null is empty."""
+def texts(batch_column, limit: int = (1 << 19) - 64):
+    """(first row, last row, bytes, bounds) of an Arrow string column, cut at about `limit` bytes, half a megabyte by default; null is empty."""
     import pyarrow as pa
 
     col = batch_column.cast(pa.large_string()).fill_null("")
