@@ -204,8 +204,9 @@ def groups(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col:
     links = scratch.save(verified(pairs, sets, similarity).distinct(), "links")
     scratch.drop("sets", "met")
     found = components(links, scratch)
-    least = nodes.select("node", "id").join(found, "node").groupBy("root").agg(F.min("id").alias("component"))
-    named = scratch.save(nodes.select("node", "id").join(found.join(least, "root").select("node", "component"), "node", "left").select("node", F.coalesce("component", "id").alias("component_id")), "named")
+    members = scratch.save(nodes.select("node", "id").join(found, "node").select("node", "id", "root"), "members")
+    least = scratch.save(members.groupBy("root").agg(F.min("id").alias("component")), "least")  # written, so that a large group is a skewed join side that Spark splits
+    named = scratch.save(nodes.select("node", "id").join(members.join(least, "root").select("node", "component"), "node", "left").select("node", F.coalesce("component", "id").alias("component_id")), "named")
     often = scratch.save(frequent(rows.where("n > 0"), "node").select("node"), "often")
     heavy = scratch.save(named.join(F.broadcast(often), "node", "left_semi"), "heavy")
     light = rows.where("n > 0").join(F.broadcast(often), "node", "left_anti")
