@@ -171,3 +171,28 @@ def test_texts_that_repeat_themselves(spark):
     line = prose(9, 30) + " "
     got = {r.doc_id for r in passages.passages(docs_of(spark, [line * 6, line * 6, prose(10, 200)]), Scratch(spark)).collect()}
     assert got == {0, 1}
+
+
+def test_compact_windows_against_brute_force():
+    import numpy as np
+
+    def brute(h, least):
+        seen = set()
+        for c in range(len(h)):
+            a = b = c
+            while a and h[a - 1] >= h[c]:
+                a -= 1
+            while b < len(h) - 1 and h[b + 1] >= h[c]:
+                b += 1
+            if b - a + 1 >= least:
+                seen.add((a, next(i for i in range(a, b + 1) if h[i] == h[c]), b))
+        return seen
+
+    rng = np.random.default_rng(1)
+    for k in range(200):
+        n = rng.integers(0, 60, 4)
+        h = rng.integers(1, (4, 40, 2**60)[k % 3], n.sum()).astype(np.uint64)
+        begin = np.concatenate([[0], np.cumsum(n)])
+        got = [*zip(*passages.compact_windows(h, begin, 7))]
+        want = {(d, *w) for d in range(4) for w in brute(h[begin[d] : begin[d + 1]].tolist(), 7)}
+        assert len(got) == len(set(got)) and set(got) == want
