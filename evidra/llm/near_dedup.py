@@ -7,7 +7,9 @@ range-partitioned pass. Runs of nodes with a common prefix of LEAST values are r
 at most SMALL nodes compares all of them by 128-bit sketches; a larger one ties its nodes to the node
 nearest to the region's majority sketch and looks again one value deeper, so depth adapts to how
 crowded a region is; at full depth next neighbours are compared. Only pairs whose sketches agree
-reach the exact check on full sets, and verified links are joined to components.
+reach the exact check on full sets, and verified links are joined to components. Then the nodes of a
+larger region that are not in its largest component are compared with all its nodes of other
+components, block by block, so that a text which is alike no hub keeps its links to other members.
 
 Defined results: null and wordless texts have no shingles and no links; of a group the smallest
 doc_id stays (of rows with this id the least hash of the text, and one of repeated rows), null ids
@@ -31,8 +33,10 @@ AGREE, SURE = 97, 125
 _rng = np.random.default_rng(7)
 _XOR = _rng.integers(0, 2**64, TREES * DEPTH, np.uint64)
 _MUL = _rng.integers(0, 2**63, TREES * DEPTH, np.uint64) * np.uint64(2) + np.uint64(1)
-#: Sort rows in a partition.
-ROWS = 400_000
+#: Sort rows in a partition; nodes of a crowded region in a block; hashes compared at once.
+ROWS, BLOCK, HELD = 400_000, 256, 1 << 21
+#: Bytes of a key that name its tree and the LEAST first values.
+PREFIX = 1 + 2 * LEAST
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -189,6 +193,84 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return pairs.join(one, "b").join(two, "a").select("a", "b", "set_a", "set_b").mapInArrow(run, "a binary, b binary")
 
 
+def crowded(nodes: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """node, sketch, root, prefixes (its crowded regions of several components), places (prefix, query block i, block j, is a query, is outside the largest component)."""
+    rows = nodes.select("node", F.explode(F.transform("keys", lambda k: F.substring(k, 1, PREFIX))).alias("prefix"))
+    large = scratch.save(rows.groupBy("prefix").count().where(F.col("count") > SMALL).select("prefix"), "large")
+    n = large.count()
+    if not n:
+        return None
+    inside = scratch.save(rows.join(sized(large, 32, n), "prefix").join(found, "node", "left").select("prefix", "node", F.coalesce("root", "node").alias("root")), "inside")
+    sizes = inside.groupBy("prefix", "root").agg(F.count("*").alias("k")).groupBy("prefix")
+    open_ = scratch.save(sizes.agg(F.max(F.struct("k", "root")).alias("top"), F.sum("k").alias("n"), F.count("*").alias("roots")).where("roots > 1").select("prefix", F.col("top.root").alias("top"), F.ceil(F.col("n") / BLOCK).cast("int").alias("nj"), F.ceil((F.col("n") - F.col("top.k")) / BLOCK).cast("int").alias("ni")), "open")
+    n = open_.count()
+    if not n:
+        return None
+    placed = inside.join(sized(open_, 64, n), "prefix").withColumn("outside", F.col("root") != F.col("top"))
+    block = lambda k: F.pmod(F.xxhash64("node"), F.col(k)).cast("int")
+    place = lambda i, j, query: F.struct("prefix", i.alias("i"), j.alias("j"), F.lit(query).alias("query"), "outside")
+    held = F.transform(F.sequence(F.lit(0), F.col("ni") - 1), lambda i: place(i, block("nj"), False))
+    asked = F.when(F.col("outside"), F.transform(F.sequence(F.lit(0), F.col("nj") - 1), lambda j: place(block("ni"), j, True))).otherwise(F.slice(held, 1, 0))
+    by_node = placed.groupBy("node", "root").agg(F.collect_list("prefix").alias("prefixes"), F.flatten(F.collect_list(F.concat(held, asked))).alias("places"))
+    return scratch.save(by_node.join(nodes.select("node", "sketch"), "node"), "crowded")
+
+
+def crowded_links(inside: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Verified links (a, b) between components of a region; one for each query and component. inside: as crowded() gives."""
+
+    def compare(t):
+        import pyarrow as pa
+
+        size = t.num_rows
+        node, root = t.column("node").to_pylist(), t.column("root").to_pylist()
+        code = {r: i for i, r in enumerate(dict.fromkeys(root))}
+        comp = np.array([code[r] for r in root])
+        sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint64).reshape(size, 2)
+        shared = np.zeros((size, TREES), np.int64)  # a region's values by tree, 0 where the node's is not open
+        for i, ps in enumerate(t.column("prefixes").to_pylist()):
+            for p in ps:
+                shared[i, p[0]] = int.from_bytes(p[1:], "big") + 1
+        tree = t.column("prefix")[0].as_py()[0]
+        members = [np.frombuffer(m, np.uint64) for m in t.column("members").to_pylist()]
+        n = np.array([len(m) for m in members])
+        query = np.array(t.column("query").to_pylist(), bool)
+        outside = np.array(t.column("outside").to_pylist(), bool)
+        rank = np.empty(size, np.int64)
+        rank[sorted(range(size), key=node.__getitem__)] = np.arange(size)
+        held = np.flatnonzero(~query)
+        out = []
+        for q in np.flatnonzero(query).tolist():
+            m = held[comp[held] != comp[q]]
+            m = m[~outside[m] | (rank[m] > rank[q])]  # of two queries one asks
+            agree = _agree(sketch, np.full(len(m), q), m)
+            m = m[agree >= AGREE][np.argsort(-agree[agree >= AGREE], kind="stable")]
+            same = (shared[m] == shared[q]) & (shared[q] != 0)
+            m = m[same.argmax(axis=1) == tree]  # the pair's first common region compares it
+            while len(m):
+                some = max(1, int(np.searchsorted(np.cumsum(n[m]), HELD, "right")))
+                now, m = m[:some], m[some:]
+                x = np.concatenate([members[i] for i in now.tolist()])
+                at = np.minimum(np.searchsorted(members[q], x), n[q] - 1)
+                both = np.add.reduceat((members[q][at] == x).astype(np.int64), np.cumsum(n[now]) - n[now])
+                for i in now[100 * both >= similarity * (n[now] + n[q] - both)].tolist():
+                    if comp[i] != comp[q]:
+                        out.append((min(node[q], node[i]), max(node[q], node[i])))
+                        comp[comp == comp[i]] = comp[q]
+                m = m[comp[m] != comp[q]]
+        a, b = zip(*out) if out else ((), ())
+        return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+    rows = inside.join(sets, "node").select("node", "root", "sketch", "prefixes", "members", F.inline("places"))
+    return rows.groupBy("prefix", "i", "j").applyInArrow(compare, "a binary, b binary")
+
+
+def _texts(src: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, text of the wanted nodes, each text read once."""
+    n = wanted.count()
+    origin = sized(nodes.join(sized(wanted, 40, n), "node", "left_semi").select("node", F.col("id").alias("from"), F.col("text_hash").alias("from_hash")), 64, n)
+    return src.join(origin, src.id.eqNullSafe(F.col("from")) & (src.text_hash == F.col("from_hash"))).select("node", "text")
+
+
 def groups(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: int = SIMILARITY) -> DataFrame:
     """id, text_hash, n, node, component_id (the smallest id of the document's group) of each row."""
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"))
@@ -197,13 +279,18 @@ def groups(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col:
     nodes = scratch.save(every.where("n > 0").groupBy("node").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")).select("node", "first.id", "first.text_hash", "keys", "sketch"), "nodes")
     pairs = scratch.save(candidates(nodes), "pairs")
     met = scratch.save(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "met")
-    n = met.count()
-    origin = sized(nodes.join(sized(met, 40, n), "node", "left_semi").select("node", F.col("id").alias("from"), F.col("text_hash").alias("from_hash")), 64, n)
-    texts = src.join(origin, src.id.eqNullSafe(F.col("from")) & (src.text_hash == F.col("from_hash"))).select("node", "text")
-    sets = scratch.save(sets_of(texts, width), "sets")
+    sets = scratch.save(sets_of(_texts(src, nodes, met), width), "sets")
     links = scratch.save(verified(pairs, sets, similarity).distinct(), "links")
     scratch.drop("sets", "met")
-    found = components(links, scratch)
+    found = scratch.save(components(links, scratch), "found")
+    inside = crowded(nodes, found, scratch)
+    if inside is not None:
+        sets = scratch.save(sets_of(_texts(src, nodes, inside.select("node")), width), "crowded_sets")
+        more = scratch.save(crowded_links(inside, sets, similarity).distinct(), "crowded_links")
+        scratch.drop("crowded_sets", "crowded")
+        if not more.isEmpty():
+            found = components(links.unionByName(more), Scratch(docs.sparkSession))
+    scratch.drop("large", "inside", "open")
     members = scratch.save(nodes.select("node", "id").join(found, "node").select("node", "id", "root"), "members")
     least = scratch.save(members.groupBy("root").agg(F.min("id").alias("component")), "least")  # written, so that a large group is a skewed join side that Spark splits
     named = scratch.save(nodes.select("node", "id").join(members.join(least, "root").select("node", "component"), "node", "left").select("node", F.coalesce("component", "id").alias("component_id")), "named")

@@ -107,6 +107,18 @@ def test_near_groups_against_brute_force(spark):
         assert Counter((r.id, r.n, r.component_id) for r in got.collect()) == brute(list(enumerate(texts)), width, 80)
 
 
+def test_near_links_of_a_large_groups_fringe(spark):
+    r, base = random.Random(11), [f"w{i}" for i in range(200)]
+    texts = []
+    for d in range(2000):
+        w = list(base)
+        for i in r.sample(range(200), round(200 * r.uniform(0.03, 0.12))):
+            w[i] = f"d{d}x{i}"
+        texts.append(" ".join(w))
+    got = near_dedup.groups(docs_of(spark, texts), Scratch(spark), width=1)
+    assert Counter((x.id, x.n, x.component_id) for x in got.collect()) == brute(list(enumerate(texts)), 1, 80)
+
+
 def test_near_edge_cases(spark, edge, edge_rows, empty):
     got = near_dedup.groups(edge, Scratch(spark), width=2).collect()
     want = brute([(r[0], r[1]) for r in edge_rows], 2, 80)
