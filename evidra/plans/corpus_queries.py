@@ -165,7 +165,7 @@ def review_states(spark, sf_dir):
 
 @query()
 def tagged_parse(spark, sf_dir):
-    d = docs(spark, sf_dir).select("doc_id", F.when(F.col("doc_id") % 9 == 0, F.lit("NO_FACTS")).when(F.col("doc_id") % 10 == 0, F.concat(F.lit("FACT f1\nTEXT: "), F.substring("text", 1, 60))).otherwise(F.concat(F.lit("FACT f1\nTEXT: "), F.translate(F.substring("text", 1, 200), "\n", " "), F.lit("\nSOURCES: "), F.col("source"), F.lit(", e2\nEND_FACT"))).alias("content"))
+    d = docs(spark, sf_dir).select("doc_id", F.when(F.col("doc_id") % 9 == 0, F.lit("NO_FACTS")).when(F.col("doc_id") % 10 == 0, F.concat(F.lit("FACT f1\nTEXT: "), F.col("text"))).otherwise(F.concat(F.lit("FACT f1\nTEXT: "), F.translate("text", "\n", " "), F.lit("\nSOURCES: "), F.col("source"), F.lit(", e2\nEND_FACT"))).alias("content"))
     p = review.parse_responses(d)
     return p.select("doc_id", "parsed.error", "parsed.verdict", F.size("parsed.blocks").alias("blocks"), F.array_join(F.get(F.col("parsed.blocks"), F.lit(0))["sources"], ",").alias("sources"))
 
@@ -190,9 +190,9 @@ def patch_replay(spark, sf_dir):
 
 @query()
 def fact_groups(spark, sf_dir):
-    d = docs(spark, sf_dir).where("text is not null").select(F.col("source").alias("session_id"), F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("id"), F.substring("text", 1, 400).alias("statement"), F.array(F.concat(F.lit("e"), F.col("doc_id").cast("string"))).alias("sources"), F.lit("general").alias("qa_mode"), F.col("doc_id").alias("at"))
+    d = docs(spark, sf_dir).where("text is not null").select(F.col("source").alias("session_id"), F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("id"), F.col("text").alias("statement"), F.array(F.concat(F.lit("e"), F.col("doc_id").cast("string"))).alias("sources"), F.lit("general").alias("qa_mode"), F.col("doc_id").alias("at"))
     empty = F.array().cast("array<string>")
-    info = d.withColumn("entities", F.slice(X.entities(F.col("statement")), 1, 12)).withColumn("labels", F.array(F.lit("constraint"))).withColumn("paths", empty).withColumn("stages", empty).withColumn("lineage", empty).withColumn("observed_failure", F.lit(False)).withColumn("orders", F.array("at")).withColumn("source_kinds", F.array(F.lit("document")))
-    s = Scratch(spark).save(evidence.pair_scores(info, posting=8, most=16), "scores")
+    info = d.withColumn("entities", X.entities(F.col("statement"))).withColumn("labels", F.array(F.lit("constraint"))).withColumn("paths", empty).withColumn("stages", empty).withColumn("lineage", empty).withColumn("observed_failure", F.lit(False)).withColumn("orders", F.array("at")).withColumn("source_kinds", F.array(F.lit("document")))
+    s = Scratch(spark).save(evidence.pair_scores(info), "scores")
     g = evidence.build_groups(info, s, 10)
     return g.withColumn("facts", F.array_join("facts", ",")).withColumn("types", F.array_join("types", ","))
