@@ -6,8 +6,8 @@ transitions between the languages of neighbouring words are learned with them. F
 each word's posteriors; a text's language is the one with the largest mean posterior, its score.
 
 The field is fitted on the driver on at most DOCS texts of known language (the smallest hashes of
-their ids, LEAST to MOST code points long, equally many of each language); every text is then read
-whole. All texts of about GROUP bytes go through forward-backward together, step by step.
+their ids, equally many of each language; texts of LEAST to MOST code points first, others where a
+language has too few of these, and of longer ones the first MOST); every text is then read whole. All texts of about GROUP bytes go through forward-backward together, step by step.
 
 Defined results: null texts and texts without a letter are `und` with score 0, as is everything if
 there is nothing to learn from; equal posteriors go to the first language by name; repeated rows are
@@ -148,9 +148,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     each, cells = max(1, DOCS // len(sizes)), 1 << 20
     cut = F.create_map(*(x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(cells, -(-cells * 3 * each // n))))))
     h = F.xxhash64(id_col)
-    drawn = known.where((F.pmod(h, F.lit(cells)) < cut[F.col(lang_col)]) & F.length(text_col).between(LEAST, MOST)).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), h.alias("h"))
+    drawn = known.where((F.pmod(h, F.lit(cells)) < cut[F.col(lang_col)])).select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, MOST).alias("text"), h.alias("h"), F.length(text_col).between(LEAST, MOST).alias("fits"))
     rows, count = [], dict.fromkeys(sizes, 0)
-    for r in sorted(drawn.limit(8 * DOCS).collect(), key=lambda r: (r.h, r.text)):
+    for r in sorted(drawn.limit(8 * DOCS).collect(), key=lambda r: (not r.fits, r.h, r.text)):
         if count[r.lang] < each:
             count[r.lang] += 1
             rows.append(r)

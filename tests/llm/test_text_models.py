@@ -167,6 +167,17 @@ def test_posteriors_against_enumeration():
     assert np.allclose(got, want) and np.allclose(moves, pairs)
 
 
+def test_language_learns_from_short_and_long_texts(spark):
+    few = {"aa": "baka lumo", "bb": "xerth quilp"}
+    rows = [(i, (w + " ") * n, lang) for n, part in ((2, 0), (2000, 1)) for i, (lang, w) in enumerate(list(few.items()) * 30, 100 * part)]
+    for some in (rows[:60], rows[60:], [r for r in rows if (r[2] == "aa") == (r[0] < 100)]):
+        docs = spark.createDataFrame(some, "doc_id bigint, text string, lang string")
+        field = language.train(docs)
+        assert field is not None and field.langs == ["aa", "bb"]
+        got = {r.doc_id: r.lang_pred for r in language.predict(docs, field).collect()}
+        assert got == {r[0]: r[2] for r in some}
+
+
 def test_language_edge_cases(spark, edge, edge_rows, empty):
     field = language.train(edge)
     got = language.predict(edge, field).collect()
