@@ -2,7 +2,7 @@ r"""Personal data: regular expressions propose, checksum validators confirm, con
 
 Kinds: email, ip (parts up to 255), card (12 to 19 digits, Luhn), phone (9 to 15 digits) and, beyond
 these, iban (mod 97 is 1). Matches are leftmost and do not overlap within a kind; one that fails its
-check goes without a retry. A span's score starts with its kind's prior and moves with the words
+check goes without a retry, but for ibans, which may end at an earlier space. A span's score starts with its kind's prior and moves with the words
 within 40 characters before and 20 after it; a score never removes a span, redact() takes a least one.
 
 Defined results: a null text is an empty one, without spans; ties in start go by kind as listed;
@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 #: Fixed patterns.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")  # begins at a run of digits only and never goes back, for linear time
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b")
@@ -65,12 +65,28 @@ def _emails(text: str):
         at = text.find("@", max(at + 1, done))
 
 
+def _byte(digits: str) -> bool:
+    """Whether the number, without zeros in front, is at most 255."""
+    return len(digits) < 3 or (len(digits) == 3 and digits <= "255")
+
+
+def _ibans(text: str):
+    """IBAN's matches, cut back to an earlier space where the whole fails: a word in capitals may follow."""
+    m = IBAN.search(text)
+    while m:
+        a, ends = m.start(), [m.end(), *(i for i in range(m.end() - 1, m.start() + 14, -1) if text[i] == " ")]
+        end = next((b for b in ends if mod97(text[a:b])), None)
+        if end:
+            yield a, end
+        m = IBAN.search(text, end or a + 1)
+
+
 def spans(text: str) -> list[tuple[int, str, int, float]]:
     """(start, kind, end, score) of each span, sorted by start, then kind as listed."""
     found = []
     if "@" in text:
         found += [(a, 0, b) for a, b in _emails(text)]
-    found += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    found += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(_byte(p.lstrip("0")) for p in m[0].split("."))]
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 12:
             d = m[0].replace(" ", "").replace("-", "")
@@ -78,7 +94,7 @@ def spans(text: str) -> list[tuple[int, str, int, float]]:
                 found.append((m.start(), 2, m.end()))
     if "+" in text:
         found += [(m.start(), 3, m.end()) for m in PHONE.finditer(text) if 9 <= sum(c.isdigit() for c in m[0]) <= 15]
-    found += [(m.start(), 4, m.end()) for m in IBAN.finditer(text) if mod97(m[0])]
+    found += [(a, 4, b) for a, b in _ibans(text)]
     out = []
     for a, k, b in sorted(found):
         kind, near = KINDS[k], text[max(0, a - 40) : a] + " " + text[b : b + 20]
