@@ -2,17 +2,19 @@
 
 Words and signs, and pairs of neighbours, are hashed into 2**BITS buckets. Two smoothed bag models
 are counted over all rows: raw text (every document) and target text (documents labelled good). A
-document's log weight is the mean log ratio of the two over its n-grams. Its key is that weight by
-a temperature plus Gumbel noise drawn from its id; the k largest keys are the sample. If k is not
-given, it is the number of documents whose weight reaches the bound that best parts the labelled
-good from the labelled bad (a lost good document counts GOOD_COST times); the temperature is the
-good documents' median distance to that bound by SHARPNESS, so noise only moves border cases.
+document's log weight is the log of its likelihood under the target model less that under the raw
+one, summed over its n-grams: its importance weight. Its key is the log weight by a temperature (1 is
+plain sampling) plus Gumbel noise drawn from its id; the k largest keys are a sample without
+replacement in proportion to the weights. k is a parameter; if it is not given, as large a share of the
+rows is drawn as has quality 1 among the labels, which must then be a fair sample. Raw counts are brought
+to the target's total before both are smoothed by the same SMOOTHING, so what is rare in both says nothing.
 
 Labels come from at most LABELS rows (those of the smallest hash of their id); all counts, weights
-and the sample cover every row. The driver and the tasks hold the 2**BITS bucket counts, never more.
+and the sample cover every row. The driver and the tasks hold the 2**BITS bucket counts, never more;
+a task's counts are shuffled in CHUNKS parts and added up part by part.
 
-Defined results: a null text is an empty one; without n-grams the weight is 0; without good or
-without bad labels everything is kept; labels with nulls are skipped, of several labels of an id the
+Defined results: a null text is an empty one; without n-grams the weight is 0; without good labels
+everything is kept; labels with nulls are skipped, of several labels of an id the
 smallest holds; equal keys go by a hash of the id, and rows equal in both share their fate; an empty
 table gives an empty one; other columns pass through keep() and are left out of scores().
 """
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from . import words as W
 from .common import Scratch, fresh, sized
 
-BITS, SMOOTHING, LABELS, GOOD_COST, SHARPNESS, SEED = 18, 1.0, 200_000, 4.0, 40.0, 17
+BITS, CHUNKS, SMOOTHING, LABELS, TEMPERATURE, SEED = 18, 256, 10.0, 200_000, 1.0, 17
 
 
 def _grams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,22 +61,35 @@ def counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 bucket, row = _grams(data, bounds)
                 raw += np.bincount(bucket.view(np.int64), minlength=1 << BITS)
                 target += np.bincount(bucket.view(np.int64)[good[lo:hi][row]], minlength=1 << BITS)
-        at = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(raw[at]), pa.array(target[at])], ["bucket", "raw", "target"])
+        flat = lambda a: pa.array([part.tobytes() for part in a.reshape(CHUNKS, -1)], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), flat(raw), flat(target)], names)
 
-    got = docs.select("text", "good").mapInArrow(run, "bucket bigint, raw bigint, target bigint").groupBy("bucket").agg(F.sum("raw"), F.sum("target")).toPandas().to_numpy(np.int64)
-    raw, target = np.zeros((2, 1 << BITS))
-    raw[got[:, 0]], target[got[:, 0]] = got[:, 1], got[:, 2]
-    return raw, target
+    def add(batches):
+        import pyarrow as pa
+
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for i, *both in zip(*(c.to_pylist() for c in b.columns)):
+                sums[i] = sums.get(i, 0) + np.stack([np.frombuffer(x, np.int64) for x in both])
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), *(pa.array([s[k].tobytes() for s in sums.values()], pa.binary()) for k in (0, 1))], names)
+
+    names, shape = ["chunk", "raw", "target"], "chunk int, raw binary, target binary"
+    each = docs.select("text", "good").mapInArrow(run, shape)
+    raw, target = np.zeros((2, CHUNKS, (1 << BITS) // CHUNKS))
+    for r in each.repartition("chunk").mapInArrow(add, shape).collect():
+        raw[r.chunk] += np.frombuffer(r.raw, np.int64)
+        target[r.chunk] += np.frombuffer(r.target, np.int64)
+    return raw.reshape(-1), target.reshape(-1)
 
 
 def log_ratio(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
-    p = lambda n: np.log((n + SMOOTHING) / (n.sum() + SMOOTHING * len(n)))
-    return (p(target) - p(raw)).astype(np.float32)
+    """By bucket, the log of its probability under the target model less that under the raw one."""
+    return np.log((target + SMOOTHING) / (raw * (target.sum() / max(1.0, raw.sum())) + SMOOTHING)).astype(np.float32)
 
 
 def weights(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """docs (id, text, good) as id, text_hash, good, log_weight."""
+    """docs (id, text, good) as id, text_hash, log_weight."""
     table = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def run(batches):
@@ -84,11 +99,10 @@ def weights(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
             out = np.zeros(b.num_rows)
             for lo, hi, data, bounds in W.texts(b.column(1)):
                 bucket, row = _grams(data, bounds)
-                total, n = np.bincount(row, table.value[bucket], hi - lo), np.bincount(row, minlength=hi - lo)
-                out[lo:hi] = total / np.maximum(n, 1)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(out)], ["id", "text_hash", "good", "log_weight"])
+                out[lo:hi] = np.bincount(row, table.value[bucket], hi - lo)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(out)], ["id", "text_hash", "log_weight"])
 
-    return docs.select("id", "text", F.xxhash64("text").alias("text_hash"), "good").mapInArrow(run, "id bigint, text_hash bigint, good int, log_weight double")
+    return docs.select("id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, "id bigint, text_hash bigint, log_weight double")
 
 
 def gumbel(id_col: Column, seed: int = SEED) -> Column:
@@ -121,31 +135,19 @@ def kth_largest(df: DataFrame, col: str, k: int, most: int = 5000) -> tuple[floa
     return v, above + sum(x > v for x in values)
 
 
-def bound(labels: list[tuple[int, float]]) -> tuple[float, float] | None:
-    """(least weight to keep, temperature) from labelled weights."""
-    good = np.sort([w for g, w in labels if g == 1])
-    bad = np.sort([w for g, w in labels if g == 0])
-    if not len(good) or not len(bad):
-        return None
-    at = np.unique(np.concatenate([good, bad]))
-    lost = GOOD_COST * np.searchsorted(good, at) / len(good) + 1 - np.searchsorted(bad, at) / len(bad)
-    i = int(np.argmin(lost))
-    best = float(at[max(0, i - 1)] + at[i]) / 2  # midway to the next lower weight: labelled texts sit higher than others like them
-    return best, max(1e-9, float(np.median(good)) - best) / SHARPNESS
-
-
-def scores(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", k: int | None = None) -> DataFrame:
+def scores(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", k: int | None = None, temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
     """id, text_hash, log_weight, key, kept of each row."""
-    known = F.broadcast(scratch.save(labelled(labels), "labels"))
+    known = scratch.save(labelled(labels), "labels")
+    n_labels, n_good = known.agg(F.count("*"), F.count_if(F.col("good") != 0)).head()
+    side = F.broadcast(known)  # at most LABELS rows
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    src = src.join(known, src.id == known.label_id, "left").select("id", "text", "good")
+    src = src.join(side, src.id == side.label_id, "left").select("id", "text", "good")
     raw, target = counts(src)
     rows = scratch.save(weights(src, log_ratio(raw, target) if target.any() else np.zeros_like(raw, np.float32)), "weights")
-    fit = bound([tuple(r) for r in rows.where("good >= 0").groupBy("id", "good").agg(F.max("log_weight").alias("w")).orderBy(F.xxhash64("id")).limit(LABELS).select("good", "w").collect()]) if target.any() else None
-    least, temperature = fit or (float("-inf"), 1.0)
-    rows = rows.withColumn("key", F.col("log_weight") / F.lit(temperature) + gumbel(F.col("id"))).withColumn("tie", F.xxhash64("id", F.lit(SEED + 1)).cast("double"))
+    rows = rows.withColumn("key", F.col("log_weight") / F.lit(temperature) + gumbel(F.col("id"), seed)).withColumn("tie", F.xxhash64("id", F.lit(seed + 1)).cast("double"))
     n = rows.count()
-    k = rows.where(F.col("log_weight") >= F.lit(least)).count() if k is None else k
+    if k is None:
+        k = round(n * n_good / n_labels) if target.any() else n
     if k >= n or not n:
         kept = F.lit(True)
     elif k <= 0:
@@ -157,10 +159,10 @@ def scores(docs: DataFrame, labels: DataFrame, scratch: Scratch, id_col: str = "
     return rows.select("id", "text_hash", "log_weight", "key", kept.alias("kept"))
 
 
-def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int | None = None) -> DataFrame:
+def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int | None = None, temperature: float = TEMPERATURE) -> DataFrame:
     """The sampled rows, all columns kept."""
     scratch = Scratch(docs.sparkSession)
-    found = scratch.save(scores(docs, labels, scratch, id_col, text_col, k), "scores")
+    found = scratch.save(scores(docs, labels, scratch, id_col, text_col, k, temperature), "scores")
     i, h = fresh(docs, "gone_id", "gone_hash")
     gone = sized(found.where(~F.col("kept")).select(F.col("id").alias(i), F.col("text_hash").alias(h)), 64)
     return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone[i]) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == gone[h]), "left_anti")
