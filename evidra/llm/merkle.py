@@ -62,7 +62,7 @@ def _bucket(value: Column, bounds: list) -> Column:
     below = lambda xs: F.size(F.filter(xs, lambda x: x < value))
     row = F.greatest(below(F.array(*(F.lit(p[0]) for p in parts))), F.lit(1))
     there = F.element_at(F.array(*(F.array(*map(F.lit, p)) for p in parts)), row)
-    return F.coalesce((row - 1) * step + below(there), F.lit(len(bounds)))
+    return F.when(value.isNull(), F.lit(len(bounds))).otherwise((row - 1) * step + below(there))
 
 
 def neighbours(docs: DataFrame, id_col: str, text_col: str, rows: int = ROWS) -> DataFrame:
