@@ -9,7 +9,7 @@ The field is fitted on the driver on at most DOCS texts of known language (the s
 their ids, equally many of each language; texts of LEAST to MOST code points first, others where a
 language has too few of these, and of longer ones the first MOST); every text is then read whole. All texts of about GROUP bytes go through forward-backward together, step by step.
 
-Defined results: null texts and texts without a letter are `und` with score 0, as is everything if
+Defined results: more than LANGUAGES languages are an error; null texts and texts without a letter are `und` with score 0, as is everything if
 there is nothing to learn from; equal posteriors go to the first language by name; repeated rows are
 rows of their own; an empty table gives an empty one; other columns are left out.
 """
@@ -17,12 +17,14 @@ rows of their own; an empty table gives an empty one; other columns are left out
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
 
 BITS, DOCS, LEAST, MOST, EPOCHS, RATE, DECAY, GROUP = 18, 1600, 100, 12_000, 3, 0.15, 1e-6, 8 << 20
+#: The most languages; a model holds 2**(BITS + 1) weights of each.
+LANGUAGES = 64
 UNKNOWN = "und"
 _TAGS = np.random.default_rng(11).integers(1, 2**63, 8, np.uint64)
 _LETTER = np.zeros(256, np.int64)
@@ -142,18 +144,17 @@ def held_out(id_col: str):
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Field | None:
     """The field fitted on a bounded sample of what is not held out; None if there is nothing to learn from."""
     known = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    sizes = {r[0]: r[1] for r in known.groupBy(lang_col).count().collect()}
+    sizes = {r[0]: r[1] for r in known.groupBy(lang_col).count().limit(LANGUAGES + 1).collect()}
     if not sizes:
         return None
+    if len(sizes) > LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {LANGUAGES} values")
     each, cells = max(1, DOCS // len(sizes)), 1 << 20
     cut = F.create_map(*(x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(cells, -(-cells * 3 * each // n))))))
     h = F.xxhash64(id_col)
     drawn = known.where((F.pmod(h, F.lit(cells)) < cut[F.col(lang_col)])).select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, MOST).alias("text"), h.alias("h"), F.length(text_col).between(LEAST, MOST).alias("fits"))
-    rows, count = [], dict.fromkeys(sizes, 0)
-    for r in sorted(drawn.limit(8 * DOCS).collect(), key=lambda r: (not r.fits, r.h, r.text)):
-        if count[r.lang] < each:
-            count[r.lang] += 1
-            rows.append(r)
+    best = Window.partitionBy("lang").orderBy(F.desc("fits"), "h", "text")
+    rows = drawn.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= each).orderBy("lang", "nth").collect()
     langs = sorted({r.lang for r in rows})
     return Field(langs).fit([r.text for r in rows], [r.lang for r in rows]) if langs else None
 
