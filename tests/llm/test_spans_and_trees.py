@@ -1,7 +1,10 @@
 import hashlib
 import random
 import re
-from collections import defaultdict
+import tempfile
+import time
+from bisect import bisect_left
+from collections import Counter, defaultdict
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,7 +13,7 @@ from pyspark.sql import functions as F
 from evidra.llm import chat_format, merkle, passages, pii
 from evidra.llm.common import Scratch
 
-from .conftest import docs_of, prose
+from .conftest import SHAPE, docs_of, prose
 
 
 def plain_base(text):
@@ -46,6 +49,36 @@ def test_known_spans():
     assert near["phone"] > {k: s for _, k, _, s in pii.spans("version +49 (0)30 1234567")}["phone"]
 
 
+def test_extreme_digits_and_ibans():
+    zeros = "0" * 5000
+    for t, want in ((zeros + ".1.1.1", [("ip", 0, 5006)]), (zeros + "256.1.1.1", []), ("1." + zeros + "1.2.3 x", [("ip", 0, 5007)]), ("1.2.3.4.5.6.7.8", [("ip", 0, 7), ("ip", 8, 15)])):
+        assert [(k, a, b) for a, k, b, _ in pii.spans(t)] == want
+    for t in ("7" * 1_000_000, "+" * 100_000, "1 " * 300_000, "a@" * 200_000, "A1" * 300_000, "1." * 300_000):
+        began = time.time()
+        pii.spans(t)
+        assert time.time() - began < 10
+    iban = "ES91 2100 0418 4502 0005 1332"
+    for t in (iban, iban + " TEST", iban + " TEST AGAIN", iban + " " + iban):
+        assert [t[a:b] for a, k, b, _ in pii.spans(t) if k == "iban"] == [iban] * (1 + (t.count("ES91") > 1)), t
+
+
+def test_pii_query_columns(spark, edge_rows):
+    from evidra.llm.queries import QUERIES
+
+    rows = [*edge_rows, (90, "a@b.example +49 30 1234567 10.0.0.1 4111111111111111 DE89370400440532013000", *[None] * 12)]
+    with tempfile.TemporaryDirectory() as d:
+        spark.createDataFrame(rows, SHAPE).write.parquet(f"{d}/documents.parquet")
+        got = sorted(QUERIES["op8_pii"](spark, d).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.base_sha256, r.spans))
+    want = []
+    for r in rows:
+        base = plain_base(r[1] or "")
+        said = ",".join(f"{k}:{a}:{b}" for a, k, b in base)
+        n = Counter(k for _, k, _ in base)
+        want.append((r[0] is None, r[0] or 0, hashlib.sha256(said.encode()).hexdigest(), n["email"], n["ip"], n["card"], n["phone"]))
+    assert sorted(want) == sorted((r.doc_id is None, r.doc_id or 0, r.base_sha256, r.n_email, r.n_ip, r.n_card, r.n_phone) for r in got)
+    assert [r.spans.count("iban") for r in got if r.doc_id == 90] == [1]
+
+
 def test_pii_edge_cases(edge, edge_rows, empty):
     assert pii.scan(edge).count() == len(edge_rows) and pii.scan(empty).count() == 0
     got = pii.redact(edge)
@@ -128,13 +161,24 @@ def test_merkle_against_brute_force(spark, edge, edge_rows, empty):
     compare(rows[:1], merkle.compare_edits(docs_of(spark, texts[:1])).collect())
 
 
-def test_merkle_ranges_cover_every_id():
+def test_merkle_ranges_cover_every_id(spark):
+    values = [-1, 0, 1, 2, 3, 5, 6, 250, 496, 497, 499, 1000]
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v bigint")
     for bounds in ([], [5], [1, 2, 3], list(range(0, 500, 7))):
-        assert merkle._bucket is not None
-        values = [-1, 0, 1, 5, 6, 250, 499, 1000]
-        from bisect import bisect_left
-
-        assert all(bisect_left(bounds, v) <= len(bounds) for v in values)
+        got = {r.v: r.b for r in df.select("v", merkle._bucket(F.col("v"), bounds).alias("b")).collect()}
+        assert got == {v: bisect_left(bounds, v) for v in values} | {None: len(bounds)}
+
+
+def test_merkle_branches_locate_edits(spark):
+    text = "One one. Two two.\nThree three. Four.\n\nFive five. Six."
+    edited = text.replace("Four", "Fore")
+    df = spark.createDataFrame([(1, text), (2, edited), (3, "Other.\n\nWords here.")], "id int, text string")
+    trees = {r.id: r for r in merkle.with_tree(df, "text", "root", "nodes").collect()}
+    one = spark.createDataFrame([(trees[1].nodes, trees[2].nodes, trees[3].nodes)], "a array<bigint>, b array<bigint>, c array<bigint>")
+    there, none, every = one.select(merkle.differing(F.col("a"), F.col("b")), merkle.differing(F.col("a"), F.col("a")), merkle.differing(F.col("a"), F.col("c"))).head()
+    # root, the section, the paragraph and the sentence of the edit, and nothing else
+    assert len(there) == 4 and none == [] and len(every) == len(trees[1].nodes)
+    assert trees[1].root != trees[2].root
 
 
 def plant():

@@ -1,5 +1,7 @@
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -42,6 +44,44 @@ def test_resampling_parts_good_from_bad_and_takes_k(spark):
         assert sum(r.kept for r in resampling.scores(docs, labels, Scratch(spark), k=k).collect()) == min(k, 90)
 
 
+def grams(text):
+    """N-grams of a text, as strings, by plain Python."""
+    words = re.findall(rb"[0-9A-Za-z_\x80-\xff]+|[^0-9A-Za-z_\x80-\xff\x20\x09-\x0d]+", text.encode().lower())
+    return words + list(zip(words, words[1:]))
+
+
+def test_resampling_against_brute_force(spark):
+    docs, labels = quality_docs(spark)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    good = {i for i in range(0, 60, 2)} | {3}
+    raw, target = (Counter(g for i in ids for g in grams(texts[i])) for ids in (texts, good))
+    scale, add = target.total() / raw.total(), resampling.SMOOTHING
+    want = {i: sum(np.log((target[g] + add) / (raw[g] * scale + add)) for g in grams(t)) for i, t in texts.items()}
+    got = {r.id: r for r in resampling.scores(docs, labels, Scratch(spark)).collect()}
+    for i, w in want.items():  # but for n-grams that share a bucket
+        assert abs(got[i].log_weight - w) < 0.02 * abs(w) + 0.5
+    known = {i: int(i < 60) for i in range(0, 90, 2)} | {3: 1}
+    k = round(len(texts) * sum(known.values()) / len(known))
+    first = sorted(got, key=lambda i: -got[i].key)[:k]
+    assert {i for i, r in got.items() if r.kept} == set(first)
+
+
+def test_resampling_inclusion_follows_the_weights(spark):
+    from pyspark.sql import functions as F
+
+    n, k = 40_000, 2_000  # a fourth of the rows have each of the weights 1, 2, 3, 4
+    rows = spark.range(n).withColumn("w", F.col("id") % 4 + 1).withColumn("key", F.log("w") + resampling.gumbel(F.col("id")))
+    v, _ = resampling.kth_largest(rows, "key", k)
+    got = {r.w: r["count"] for r in rows.where(F.col("key") >= v).groupBy("w").count().collect()}
+    lam = 0.0  # a row of weight w is among the k with probability 1 - exp(-w lam)
+    while sum(n / 4 * (1 - np.exp(-w * lam)) for w in (1, 2, 3, 4)) < k:
+        lam += 1e-5
+    for w in (1, 2, 3, 4):
+        want = n / 4 * (1 - np.exp(-w * lam))
+        assert abs(got[w] - want) < 4 * want**0.5
+    assert sum(got.values()) == k
+
+
 def test_kth_largest(spark):
     r = random.Random(4)
     v = [r.choice([1.5, r.random(), r.gauss(0, 1e6)]) for _ in range(3000)]
@@ -62,15 +102,22 @@ def test_resampling_edge_cases(spark, edge, empty):
     assert resampling.keep(edge, none).count() == edge.count()
 
 
-ODD = ["it's I'M don't ÀÉÎ ß ſ İ ŉ x²³ 1½ <|endoftext|> <|x '' 's \xa0 a­b Σς ΑΣ", "", "  ", "a\x1fb\x85c", "'s's'll'", "ﬁ é é ǅ", "\r\n\t", "漢字 и ещё", "\u0301x \u0301"]
+ODD = ["it's I'M don't ÀÉÎ ß ſ İ ŉ x²³ 1½ <|endoftext|> <|x '' 's \xa0 a­b Σς ΑΣ", "", "  ", "a\x1fb\x85c", "'s's'll'", "ﬁ é é ǅ", "\r\n\t", "漢字 и ещё", "\u0301x \u0301", "a\x0bb\x0cc", "×a÷b éx×", "a<|ENDOFTEXT|>b A<|endoftext|>B", "—“x”…", "İstanbul ŉa ſt"]
 
 
 def test_encoder_equals_the_tokenizer():
     e = packing.Encoder(vocabulary())
     r = random.Random(1)
-    random_texts = ["".join(r.choice("aA'sStTé2½ \n.,!<|>ªµßøÿĀŉ×÷_-\u00ad") for _ in range(300)) for _ in range(40)]
-    for t in [*ODD, *random_texts, prose(5, 500)]:
-        assert e(t) == e.whole(t), t
+    random_texts = ["".join(r.choice("aA'sStTé2½ \n.,!<|>ªµßøÿĀŉ×÷_-\u00ad\x0b\x1c漢İ\u0301") for _ in range(300)) for _ in range(80)]
+    texts = [*ODD, *random_texts, prose(5, 500)]
+    for t in texts:
+        assert e(t).tolist() == e.whole(t).tolist(), t
+    raw = [t.encode() for t in texts]
+    for _ in range(2):
+        ids, begin = e.many(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])]))
+        for i, t in enumerate(texts):
+            assert ids[begin[i] : begin[i + 1]].tolist() == e.whole(t).tolist(), t
+        e.forget()
 
 
 def check_packing(rows, docs):
@@ -100,11 +147,25 @@ def test_packing(spark, edge, edge_rows, empty):
     assert n <= -(-total // 2048) + 1
 
 
-def test_rounds_join_what_tasks_left_apart(spark, monkeypatch):
+def test_rounds_join_what_tasks_left_apart(spark):
     items = spark.createDataFrame([(i, 700 + i % 5) for i in range(90)], "doc_id bigint, length bigint").repartition(30)
     got = packing.pack(items, Scratch(spark)).collect()
     assert len(got) == 90 and len({r.sequence_id for r in got}) == 45
-    assert all(o == (0 if o == 0 else 700 + 0) or o >= 700 for o in (r.offset for r in got))
+
+
+@pytest.mark.parametrize("most", [60, 250, 1000])
+def test_rounds_of_many_tasks_reach_the_bound(spark, most):
+    r = random.Random(12)
+    sizes = [min(2048, max(1, round(r.lognormvariate(5, 1.3)))) for _ in range(4000)] + [1, 1, 2048, 2047]
+    items = spark.createDataFrame(list(enumerate(sizes)), "doc_id bigint, length bigint").repartition(9)
+    got = packing.pack(items, Scratch(spark), most=most).collect()
+    assert sorted(x.doc_id for x in got) == list(range(len(sizes)))
+    by = {}
+    for x in sorted(got, key=lambda x: (x.sequence_id, x.offset)):
+        assert x.offset == by.get(x.sequence_id, 0)
+        by[x.sequence_id] = x.offset + x.length
+    assert max(by.values()) <= 2048 and sum(v <= 1024 for v in by.values()) <= 1
+    assert len(by) <= 1.005 * -(-sum(sizes) // 2048) + (most < 100) * 4
 
 
 def test_best_fit_never_overfills():
@@ -208,6 +269,40 @@ def test_mixing_meets_its_targets(spark):
     assert seen == {k: v for k, v in n.items() if v}
 
 
+def solved(tokens, p, aim, ridge=mixing.RIDGE):
+    """Rates by plain projected gradient with momentum, run to its end."""
+    size, r, t = tokens @ p, np.ones(len(tokens)), 1.0
+    z = r.copy()
+    for _ in range(100_000):
+        g = p @ ((tokens * z) @ p / size - aim / size) + ridge * (z - 1)
+        n = np.maximum(0, z - g / (1 + ridge))
+        t = 1.0 if g @ (tokens * (n - r)) > 0 else t
+        t2 = (1 + (1 + 4 * t * t) ** 0.5) / 2
+        z, r, t = n + (t - 1) / t2 * (n - r), n, t2
+    return r
+
+
+def test_mixing_against_brute_force(spark):
+    rng = np.random.default_rng(4)
+    p = rng.dirichlet([0.3, 0.3, 0.3], 40)
+    tokens = rng.integers(1, 1000, 40)
+    names = ["a", "b", "c"]
+    cells = spark.createDataFrame([(str(i), int(n), [float(x) for x in q]) for i, (n, q) in enumerate(zip(tokens, p))], "cell string, tokens bigint, p array<double>")
+    for want in ({"a": 0.98, "b": 0.01, "c": 0.01}, {"a": 1, "b": 1, "c": 1}, {"b": 1.0}):
+        pulls, got = mixing.fit(cells, names, want)
+        aim = np.array([want.get(d, 0.0) for d in names]) / sum(want.values()) * tokens.sum()
+        rates = solved(tokens.astype(float), p, aim)
+        assert np.allclose(np.maximum(0, 1 - p @ np.array(pulls)), rates, atol=1e-5)
+        for d, m, a in zip(names, (tokens * rates) @ p / tokens.sum(), aim / tokens.sum()):
+            assert abs(got[d][0] - a) < 1e-12 and abs(got[d][1] - m) < 1e-6
+
+
+def test_mixing_of_a_domain_of_one_document(spark):
+    docs = spark.createDataFrame([(i, speech("en", i), "en") for i in range(20)] + [(99, speech("fr", 5), "fr")], "doc_id bigint, text string, lang string")
+    marks, _ = mixing.cells(docs, Scratch(spark), "lang", "doc_id", "text")
+    assert set(marks) == {"en", "fr"}
+
+
 def test_mixing_edge_cases(spark, edge, edge_rows, empty):
     got = mixing.memberships(edge, Scratch(spark), tokens="t0", posterior="p0", rate="r0", copies="c0").collect()
     assert len(got) == len(edge_rows)
