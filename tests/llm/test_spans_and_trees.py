@@ -6,6 +6,7 @@ import time
 from bisect import bisect_left
 from collections import Counter, defaultdict
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -205,6 +206,51 @@ def test_planted_passages(spark):
     assert prose(500, 70)[:40] in shown
 
 
+def test_passages_behind_common_lines(spark):
+    """Passages that hold a line which many unrelated documents have, the smallest of all among them."""
+    line = prose(77, 14)
+    texts = [prose(3000 + i, 40) + " " + line + " " + prose(4000 + i, 40) for i in range(40)]
+    want = set()
+    for g in range(6):
+        p = prose(5000 + g, 25) + " " + line + " " + prose(6000 + g, 25)
+        for k in range(2):
+            want.add(len(texts))
+            texts.append(prose(7000 + 2 * g + k, 60) + " " + p + " " + prose(8000 + 2 * g + k, 60))
+    got = {r.doc_id for r in passages.passages(docs_of(spark, texts), Scratch(spark)).collect()}
+    assert got == want
+
+
+def test_near_passages_are_found(spark):
+    """Recall of passages of 64 and of 51 words with one word changed, at any place."""
+    r, texts = random.Random(21), []
+    for i in range(150):
+        n = 64 if i % 2 else 51
+        p = prose(9000 + i, n).split()
+        q = list(p)
+        q[r.randrange(n)] = f"changed{i}"
+        texts += [prose(10_000 + i, 30) + " " + " ".join(p) + " " + prose(11_000 + i, 30), prose(12_000 + i, 30) + " " + " ".join(q) + " " + prose(13_000 + i, 30)]
+    got = {x.doc_id for x in passages.passages(docs_of(spark, texts), Scratch(spark)).collect()}
+    both = [{2 * i, 2 * i + 1} <= got for i in range(150)]
+    assert sum(both[1::2]) >= 74 and sum(both[::2]) >= 70
+
+
+def test_window_pairs_against_brute_force():
+    rng = np.random.default_rng(3)
+    for _ in range(100):
+        c = rng.integers(0, 200, 30)
+        a, z = c - rng.integers(0, 80, 30), c + rng.integers(0, 80, 30)
+        i, j = passages.window_pairs(a, c, z, 20)
+        want = {(x, y) for x in range(30) for y in range(x) if c[x] != c[y] and max(a[x], a[y]) <= min(c[x], c[y]) and max(c[x], c[y]) <= min(z[x], z[y]) and min(z[x], z[y]) - max(a[x], a[y]) + 1 >= 20}
+        got = [(max(x, y), min(x, y)) for x, y in zip(i.tolist(), j.tolist())]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_one_id_with_two_texts_is_one_document(spark):
+    p = prose(70, 80)
+    df = spark.createDataFrame([(1, "a " + p), (1, "b " + prose(71, 90)), (2, p)], "doc_id bigint, text string")
+    assert {r.doc_id for r in passages.passages(df, Scratch(spark)).collect()} == {1, 2}
+
+
 def test_passage_edge_cases(spark, edge, empty):
     got = {r.doc_id for r in passages.passages(edge, Scratch(spark)).collect()}
     assert got == {6, 9, 13, 14}
@@ -218,8 +264,6 @@ def test_texts_that_repeat_themselves(spark):
 
 
 def test_compact_windows_against_brute_force():
-    import numpy as np
-
     def brute(h, least):
         seen = set()
         for c in range(len(h)):
