@@ -216,8 +216,9 @@ def test_passages_behind_common_lines(spark):
         for k in range(2):
             want.add(len(texts))
             texts.append(prose(7000 + 2 * g + k, 60) + " " + p + " " + prose(8000 + 2 * g + k, 60))
-    got = {r.doc_id for r in passages.passages(docs_of(spark, texts), Scratch(spark)).collect()}
-    assert got == want
+    for rounds in (passages.ROUNDS, None):
+        got = {r.doc_id for r in passages.passages(docs_of(spark, texts), Scratch(spark), rounds=rounds).collect()}
+        assert got == want
 
 
 def test_near_passages_are_found(spark):
