@@ -15,6 +15,10 @@ SYMBOL = r"\b[A-Za-z_][A-Za-z0-9_]{2,}(?=\s*\(|\s*::)|\b(?:Attribute|stdin|stdou
 IDENTIFIER = r"(?:[A-Za-z0-9_.-]+/)+[A-Za-z0-9_.-]+|[A-Za-z_][A-Za-z0-9_]*(?:\.[A-Za-z_][A-Za-z0-9_]*)+|[A-Za-z_][A-Za-z0-9_]{2,}"
 SEMANTIC_TOKEN = r"(?i)(?:[A-Za-z0-9_.-]+/)+[A-Za-z0-9_.-]+|[A-Za-z_][A-Za-z0-9_.-]{3,}|\d+(?:\.\d+)?(?:\s*(?:秒|分钟|小时|天|日|月|年))?"
 TEMPORAL_VALUE = r"(?i)datetime\s*\([^)]*\)|\b20\d{2}(?:[-/.]\d{1,2}){0,2}\b|\d+(?:\.\d+)?\s*(?:秒|分钟|小时|天|日|月|年)"
+CHINESE = r"[一-鿿]{2,}"
+CHINESE_EXPLICIT = r"`([^`\n]{3,48})`|[\"“「《]([^\"”」》\n]{3,48})[\"”」》]"
+CHINESE_STOP = "用户 助手 要求 认为 可以 需要 目前 这个 那个 然后 已经 进行 问题 内容 对应 相关 时候 里面 一下 一个 版本 快照 事件 文件 代码 函数 模块 旧版 新版 当前 历史 工具 结果 输出 记录 数据 实现 逻辑 路径 修改".split()
+RELATION_LABELS = "change failure validation feedback constraint decision temporal conditional".split()
 TOPIC = "(?iu)现在|然后|另外|接下来|换个|继续|最后|总结|部署|安装|测试|评估|设计|实现|修复|导出|分析|对比|之前|后来|改成|改为|修改|保留|删除|移除|反馈|失败|报错|要求|确认|可以吗|怎么|为什么|如何|需要|帮我|我想|我认为|同意|好的"
 RELATION_CUE = "(?iu)之前|后来|现在|然后|改成|修改|保留|删除|移除|必须|不要|不能|通过|失败|报错|要求|反馈|确认|计划"
 REFERENCE_CUE = "(?iu)之前|此前|前面|上述|原来|这个(?:决定|约束|方案)|该(?:决定|约束|方案)"
@@ -154,10 +158,18 @@ def key_values(text: Column, keys: list[str]) -> Column:
 
 
 def entities(text: Column) -> Column:
-    """Concrete lower-cased identifiers: no stop or generic word, record id, stage id, short word or code file name."""
+    """Concrete lower-cased identifiers: no stop or generic word, record, stage, chunk or scope id, short word or code file name.
+
+    Of Chinese runs the four-character terms without a stop word (zh:), and quoted or marked terms whole (zhx:).
+    """
     names = F.transform(found(text, IDENTIFIER), lambda t: F.lower(F.regexp_replace(t, r"^[.]+|[.]+$", "")))
     drop = STOPWORDS + GENERIC_ENTITIES
-    return F.array_distinct(F.filter(names, lambda t: (F.length(t) >= 3) & ~t.isin(*drop) & ~t.rlike(r"^[ev]\d+$|^stage-?\d+$") & ~t.rlike(r"\.(?:py|js|mjs|ts|tsx|jsx|json|yaml|yml)$")))
+    latin = F.filter(names, lambda t: (F.length(t) >= 3) & ~t.isin(*drop) & ~t.rlike(r"^[ev]\d+$|^(?:stage|chunk|scope)[-_]?\d+$") & ~t.rlike(r"\.(?:py|js|mjs|ts|tsx|jsx|json|yaml|yml)$"))
+    runs = F.flatten(F.transform(found(text, CHINESE), lambda r: F.when(F.length(r) >= 4, F.transform(F.sequence(F.lit(1), F.length(r) - 3), lambda i: F.substring(r, i, F.lit(4)))).otherwise(F.array().cast("array<string>"))))
+    terms = F.transform(F.filter(runs, lambda t: ~t.rlike("|".join(CHINESE_STOP))), lambda t: F.concat(F.lit("zh:"), t))
+    marked = F.concat(*(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(CHINESE_EXPLICIT), F.lit(g)) for g in (1, 2)))
+    marked = F.filter(F.transform(marked, lambda t: F.lower(F.regexp_replace(t, r"(?U)\s+", ""))), lambda t: t.rlike("[一-鿿]") & ~t.isin(*CHINESE_STOP))
+    return F.array_distinct(F.concat(latin, terms, F.transform(marked, lambda t: F.concat(F.lit("zhx:"), t))))
 
 
 def normalize_path(path: Column, workspace: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ def khop(edges: DataFrame, seeds: DataFrame, hops: int, scratch: Scratch | None
     scratch = scratch or Scratch(edges.sparkSession)
     k = list(keys)
     both = edges.select(*k, "src", "dst").unionByName(edges.select(*k, F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
+    both = scratch.save(both.repartition(*k, "src"), "edges")  # each step joins it again
     seen = layer = seeds.select(*k, "node").distinct().withColumn("depth", F.lit(0))
     for depth in range(1, hops + 1):
         new = layer.select(*k, F.col("node").alias("src")).join(both, [*k, "src"]).select(*k, F.col("dst").alias("node")).distinct()
@@ -35,8 +38,8 @@ def khop_adaptive(edges: DataFrame, seeds: DataFrame, size: DataFrame, initial:
     return kept, log
 
 
-def distances(edges: DataFrame, seeds: DataFrame, most: int = 8, scratch: Scratch | None = None) -> DataFrame:
-    """(session_id, start, node, distance): least total weight over edges (src, dst, weight 0 or 1), undirected, up to `most`.
+def distances(edges: DataFrame, seeds: DataFrame, most: int | None = None, scratch: Scratch | None = None) -> DataFrame:
+    """(session_id, start, node, distance): least total weight over edges (src, dst, weight 0 or 1), undirected, up to `most` if given.
 
     Nodes tied by weight-0 edges are one: they are contracted first, then each step of weight 1 joins the newest layer.
     """
@@ -48,7 +51,9 @@ def distances(edges: DataFrame, seeds: DataFrame, most: int = 8, scratch: Scratc
     one = scratch.save(one.unionByName(one.select("session_id", F.col("dst").alias("src"), F.col("src").alias("dst"))).where("src <> dst").distinct(), "one")
     s = root(seeds.select("session_id", F.col("node").alias("start")), "start")
     found = layer = s.select("session_id", "start", F.col("start_root").alias("at"), F.lit(0).alias("distance"))
-    for d in range(1, most + 1):
+    for d in count(1):
+        if most is not None and d > most:
+            break
         new = layer.select("session_id", "start", F.col("at").alias("src")).join(one, ["session_id", "src"]).select("session_id", "start", F.col("dst").alias("at")).distinct()
         layer = scratch.save(new.join(found, ["session_id", "start", "at"], "left_anti").withColumn("distance", F.lit(d)), f"reach{d}")
         if layer.isEmpty():

@@ -151,20 +151,25 @@ def as_of_join(points: DataFrame, versions: DataFrame, keys: list[str], at: str,
     return both.withColumn("version", F.last("version", True).over(w)).where("__point is not null").select("__point.*", "version")
 
 
-def ancestry(versions: DataFrame, scratch, depth: int = 64) -> DataFrame:
-    """(session_id, version_id, ancestor, distance) over previous, by doubling: paths of length 2**k after k joins."""
+def ancestry(versions: DataFrame, scratch) -> DataFrame:
+    """(session_id, version_id, ancestor, distance) over previous, to the first version, by doubling: paths of length 2**k after k joins.
+
+    A version that is its own ancestor is an error.
+    """
     step = versions.where("previous is not null").select("session_id", "version_id", F.col("previous").alias("ancestor"), F.lit(1).alias("distance"))
     all_, jump = step, step
     reach = 1
-    while reach < depth:
+    while reach < 1 << 30:
         on = ["session_id", "mid"]
         more = all_.withColumnRenamed("ancestor", "mid").join(jump.select("session_id", F.col("version_id").alias("mid"), "ancestor", F.col("distance").alias("d2")), on).select("session_id", "version_id", "ancestor", (F.col("distance") + F.col("d2")).alias("distance"))
         jump = scratch.save(jump.withColumnRenamed("ancestor", "mid").join(jump.select("session_id", F.col("version_id").alias("mid"), "ancestor", F.col("distance").alias("d2")), on).select("session_id", "version_id", "ancestor", (F.col("distance") + F.col("d2")).alias("distance")), f"jump{reach}")
         all_ = scratch.save(all_.unionByName(more), f"ancestry{reach}")
+        if not jump.where("version_id = ancestor").isEmpty():
+            raise ValueError("a version is its own ancestor")
         reach *= 2
         if jump.isEmpty():
-            break
-    return all_
+            return all_
+    raise RuntimeError("the ancestry does not end")
 
 
 def pair_calls(records: DataFrame) -> DataFrame:

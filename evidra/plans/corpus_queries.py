@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import evidence, graph, metrics, review, selection, versions
+from ..operators import evidence, graph, joins, metrics, review, selection, versions
 from ..scratch import Scratch
 from .registry import query, table
 
@@ -63,29 +63,20 @@ def fact_aliases(spark, sf_dir):
     return evidence.merge_facts(f).select(F.col("id").alias("doc_id"), "canonical")
 
 
-GRAMS = lambda c: f"(SELECT list_distinct(CASE WHEN {c} = '' THEN [] WHEN length({c}) <= 3 THEN [{c}] ELSE list_transform(range(1, length({c}) - 1), lambda i: substr({c}, i, 3)) END))"
-PAIRS = f"""
-    l AS (SELECT DISTINCT doc_id, trim(regexp_replace(lower(x), '\\s+', ' ', 'g')) AS t FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM documents)),
-    b AS (SELECT DISTINCT item_id, trim(regexp_replace(lower(x), '\\s+', ' ', 'g')) AS t FROM (SELECT item_id, unnest(string_split(text, chr(10))) AS x FROM benchmark)),
-    j AS (SELECT item_id, doc_id, {GRAMS('b.t')} AS x, {GRAMS('l.t')} AS y FROM b JOIN l ON substr(b.t, 1, 24) = substr(l.t, 1, 24) WHERE length(b.t) >= 24 AND length(l.t) >= 24),
-    pairs AS (SELECT DISTINCT item_id, doc_id FROM j WHERE len(list_intersect(x, y)) / least(len(x), len(y)) >= 0.78)"""
-
-
 def _pairs(spark, sf_dir) -> DataFrame:
-    line = lambda t, i: table(spark, sf_dir, t).select(i, F.explode(F.transform(F.split("text", "\n"), X.normalized)).alias("t")).where(F.length("t") >= 24).distinct().withColumn("k", F.substring("t", 1, 24))
-    b, l = line("benchmark", "item_id"), line("documents", "doc_id")
-    j = b.withColumnRenamed("t", "x").join(l.withColumnRenamed("t", "y"), "k")
-    return j.where(X.text_contains(F.col("x"), F.col("y"))).select("item_id", "doc_id").distinct()
+    """Benchmark items and documents of which two lines contain one another."""
+    line = lambda t, i: table(spark, sf_dir, t).select(i, F.explode(F.transform(F.split("text", "\n"), X.normalized)).alias("t")).where("t <> ''").distinct()
+    b, d = line("benchmark", "item_id"), line("documents", "doc_id")
+    found = joins.contained_pairs(b.select("t").distinct(), d.select("t").distinct(), "t", Scratch(spark))
+    return found.join(b.withColumnRenamed("t", "l_t"), "l_t").join(d.withColumnRenamed("t", "r_t"), "r_t").select("item_id", "doc_id").distinct()
 
 
-@query(f"WITH {PAIRS} SELECT * FROM pairs")
+@query()
 def near_dup_pairs(spark, sf_dir):
     return _pairs(spark, sf_dir)
 
 
-@query(f"""WITH RECURSIVE {PAIRS}, e AS (SELECT 'b' || item_id AS a, 'd' || doc_id AS b FROM pairs UNION SELECT 'd' || doc_id, 'b' || item_id FROM pairs),
-    reach(node, other) AS (SELECT a, a FROM e UNION SELECT r.node, e.b FROM reach r JOIN e ON e.a = r.other)
-    SELECT node, min(other) AS root FROM reach GROUP BY node""")
+@query()
 def near_dup_clusters(spark, sf_dir):
     links = _pairs(spark, sf_dir).select(F.lit(0).alias("session_id"), F.concat(F.lit("b"), "item_id").alias("a"), F.concat(F.lit("d"), "doc_id").alias("b"))
     return graph.components(links, Scratch(spark)).select("node", "root")

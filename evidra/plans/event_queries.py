@@ -67,12 +67,11 @@ def files_at_cutoff(spark, sf_dir):
     return versions.as_of(versions.intervals(states(spark, sf_dir), "observed_at"), 100).select("session_id", "path", "o_orderkey", "status")
 
 
-@query(f"""WITH RECURSIVE {STATES}, l AS (SELECT session_id, observed_at AS version_id, lag(observed_at) OVER (PARTITION BY session_id, path ORDER BY observed_at) AS previous FROM v WHERE observed_at <= 60),
-    a(session_id, version_id, ancestor, distance) AS (SELECT session_id, version_id, previous, 1 FROM l WHERE previous IS NOT NULL UNION ALL SELECT a.session_id, a.version_id, l.previous, a.distance + 1 FROM a JOIN l ON l.session_id = a.session_id AND l.version_id = a.ancestor WHERE l.previous IS NOT NULL)
-    SELECT session_id, version_id, ancestor, distance::INT AS distance FROM a""")
+@query("""WITH r AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM orders)
+    SELECT a.o_custkey AS session_id, a.o_orderkey AS version_id, b.o_orderkey AS ancestor, (a.n - b.n)::INT AS distance FROM r a JOIN r b ON a.o_custkey = b.o_custkey AND b.n < a.n""")
 def version_ancestry(spark, sf_dir):
-    w = Window.partitionBy("session_id", "path").orderBy("observed_at")
-    v = states(spark, sf_dir).where("observed_at <= 60").select("session_id", F.col("observed_at").alias("version_id"), F.lag("observed_at").over(w).alias("previous"))
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    v = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("session_id"), F.col("o_orderkey").alias("version_id"), F.lag("o_orderkey").over(w).alias("previous"))
     return versions.ancestry(v, Scratch(spark))
 
 
@@ -97,7 +96,7 @@ def shortest_difficulty(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(name("c", "c_custkey").alias("src"), name("n", "c_nationkey").alias("dst"), F.lit(0).alias("weight"))
     s = table(spark, sf_dir, "supplier").select(name("s", "s_suppkey").alias("src"), name("n", "s_nationkey").alias("dst"), F.lit(1).alias("weight"))
     edges = n.unionByName(c).unionByName(s).withColumn("session_id", F.lit(0))
-    dist = graph.distances(edges, spark.createDataFrame([(0, "r0")], "session_id int, node string"), 4)
+    dist = graph.distances(edges, spark.createDataFrame([(0, "r0")], "session_id int, node string"))
     items = c.select(F.col("src").alias("node")).unionByName(s.select(F.col("src").alias("node"))).select(F.lit(0).alias("session_id"), F.col("node").alias("item"), F.lit("r0").alias("start"), "node")
     return graph.difficulty(items, dist).select("item", "max_distance", "difficulty")
 
@@ -187,11 +186,11 @@ def path_suffixes(spark, sf_dir):
     return joins.suffix_join(l, r, [], "path")
 
 
-@query("""WITH a AS (SELECT DISTINCT l_orderkey AS request, 'q' || l_linenumber AS id FROM lineitem WHERE l_linenumber <= 2), r AS (SELECT l_orderkey AS request, 'q' || (CASE WHEN l_quantity > 40 THEN 9 ELSE l_linenumber END) AS id, l_linenumber AS n FROM lineitem WHERE l_linenumber <= 2),
+@query("""WITH a AS (SELECT DISTINCT l_orderkey AS request, 'q' || l_linenumber AS id FROM lineitem), r AS (SELECT l_orderkey AS request, 'q' || (CASE WHEN l_quantity > 40 THEN 9 ELSE l_linenumber END) AS id, l_linenumber AS n FROM lineitem),
     c AS (SELECT request, count(*) AS k, min(id) AS o FROM a GROUP BY 1), j AS (SELECT r.*, CASE WHEN a.id IS NOT NULL THEN a.id WHEN c.k = 1 THEN c.o END AS candidate, a.id IS NOT NULL AS own FROM r LEFT JOIN a USING (request, id) LEFT JOIN c USING (request))
     SELECT request, id, n, candidate, CASE WHEN candidate IS NULL OR count(*) OVER (PARTITION BY request, candidate) > 1 THEN 'malformed' WHEN own THEN 'matched' ELSE 'placeholder' END AS state FROM j""")
 def review_matching(spark, sf_dir):
-    l = table(spark, sf_dir, "lineitem").where("l_linenumber <= 2")
+    l = table(spark, sf_dir, "lineitem")
     cand = l.select(F.col("l_orderkey").alias("request"), F.concat(F.lit("q"), F.col("l_linenumber").cast("string")).alias("id"), F.lit(None).cast("string").alias("alias")).distinct()
     rev = l.select(F.col("l_orderkey").alias("request"), F.concat(F.lit("q"), F.when(F.col("l_quantity") > 40, 9).otherwise(F.col("l_linenumber")).cast("string")).alias("id"), F.col("l_linenumber").alias("n"))
     return review.match_reviews(rev, cand).select("request", "id", "n", "candidate", "state")

@@ -42,11 +42,11 @@ def plan_cost(spark, sf_dir):
     return reports.plan_cost(p, {b: 5 if b == "Brand#11" else 6 for b in brands})
 
 
-@query("""WITH e AS (SELECT DISTINCT 'o' || l_orderkey AS src, 'p' || l_partkey AS dst FROM lineitem WHERE l_quantity > 45), n AS (SELECT 'p' || p_partkey AS id, 'part' AS kind FROM part WHERE p_size > 25)
+@query("""WITH e AS (SELECT DISTINCT 'o' || l_orderkey AS src, 'p' || l_partkey AS dst FROM lineitem), n AS (SELECT 'p' || p_partkey AS id, 'part' AS kind FROM part)
     SELECT id, kind FROM n UNION ALL SELECT id, 'missing' FROM (SELECT src AS id FROM e UNION SELECT dst FROM e) WHERE id NOT IN (SELECT id FROM n)""")
 def viewer_nodes(spark, sf_dir):
-    e = table(spark, sf_dir, "lineitem").where("l_quantity > 45").select(F.lit(0).alias("session_id"), F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("src"), F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("dst"))
-    n = table(spark, sf_dir, "part").where("p_size > 25").select(F.lit(0).alias("session_id"), F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id"), F.lit("part").alias("kind"))
+    e = table(spark, sf_dir, "lineitem").select(F.lit(0).alias("session_id"), F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("src"), F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("dst"))
+    n = table(spark, sf_dir, "part").select(F.lit(0).alias("session_id"), F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("id"), F.lit("part").alias("kind"))
     return reports.viewer_graph(n, e)[0].drop("session_id")
 
 
@@ -75,14 +75,14 @@ def historical_edges(spark, sf_dir):
 
 
 @query("""WITH c AS (SELECT n_nationkey AS task, 'c' || s_suppkey AS id, CASE WHEN s_acctbal > 0 THEN 'yes' ELSE 'no' END AS active FROM supplier JOIN nation ON s_nationkey = n_nationkey),
-    i AS (SELECT s_nationkey AS task, 'c' || l_suppkey AS id, CASE l_returnflag WHEN 'R' THEN 'failed' WHEN 'N' THEN 'passed' ELSE 'uncertain' END AS status FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity > 49),
+    i AS (SELECT s_nationkey AS task, 'c' || l_suppkey AS id, CASE l_returnflag WHEN 'R' THEN 'failed' WHEN 'N' THEN 'passed' ELSE 'uncertain' END AS status FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
     g AS (SELECT task, id, bool_or(status = 'failed') AS bad, bool_and(status = 'passed') AS good FROM i GROUP BY 1, 2)
     SELECT task, id, CASE WHEN active <> 'yes' THEN 'not_applicable' WHEN bad THEN 'violated' WHEN good THEN 'applied' ELSE 'insufficient' END AS status FROM c LEFT JOIN g USING (task, id)""")
 def history_review(spark, sf_dir):
     s = table(spark, sf_dir, "supplier")
     cid = lambda c: F.concat(F.lit("c"), F.col(c).cast("string"))
     con = s.select(F.col("s_nationkey").alias("task"), cid("s_suppkey").alias("id"), F.when(F.col("s_acctbal") > 0, "yes").otherwise("no").alias("active"))
-    items = table(spark, sf_dir, "lineitem").where("l_quantity > 49").join(s, F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("s_nationkey").alias("task"), F.array(cid("l_suppkey")).alias("basis"), F.when(F.col("l_returnflag") == "R", "failed").when(F.col("l_returnflag") == "N", "passed").otherwise("uncertain").alias("status"))
+    items = table(spark, sf_dir, "lineitem").join(s, F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("s_nationkey").alias("task"), F.array(cid("l_suppkey")).alias("basis"), F.when(F.col("l_returnflag") == "R", "failed").when(F.col("l_returnflag") == "N", "passed").otherwise("uncertain").alias("status"))
     return review.history_review(con, items)
 
 
