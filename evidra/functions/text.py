@@ -82,9 +82,12 @@ def normalized(text: Column) -> Column:
 
 def ngrams(text: Column, width: int = 3) -> Column:
     """Distinct character n-grams of the normalized text; a short text is its own."""
-    t = normalized(text)
-    cut = F.transform(F.sequence(F.lit(1), F.length(t) - width + 1), lambda i: F.substring(t, i, F.lit(width)))
-    return F.when(t == "", F.array().cast("array<string>")).when(F.length(t) <= width, F.array(t)).otherwise(F.array_distinct(cut))
+
+    def cut(chars: Column) -> Column:  # an array, so that no place is sought from the text's start
+        many = F.transform(F.sequence(F.lit(0), F.size(chars) - width), lambda i: F.array_join(F.slice(chars, i + 1, F.lit(width)), ""))
+        return F.when(F.size(chars) == 0, F.slice(chars, 1, 0)).when(F.size(chars) <= width, F.array(F.array_join(chars, ""))).otherwise(F.array_distinct(many))
+
+    return F.flatten(F.transform(F.array(F.regexp_extract_all(normalized(text), F.lit("(?s)."), F.lit(0))), cut))
 
 
 def overlap_coefficient(a: Column, b: Column) -> Column:

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 
 
+#: How often the rarest three-grams of two texts must meet before the texts are compared.
+MEETINGS = 8
+
+
 def band_join(left: DataFrame, right: DataFrame, keys: list[str], order: str, width: int) -> DataFrame:
     """left rows (columns l_*) with right rows (r_*) of the same key at most `width` orders away.
 
@@ -55,24 +59,26 @@ def blocked_neighbours(rows: DataFrame, keys: list[str], id_col: str, blocks: st
 def contained_pairs(left: DataFrame, right: DataFrame, text: str, scratch, threshold: float = 0.78) -> DataFrame:
     """(l_<text>, r_<text>) of texts whose three-grams have an overlap coefficient of the threshold or more; left is the smaller table.
 
-    The smaller of two sets of n grams shares all but n - ceil(threshold * n) of its grams with the larger,
-    so one at least of its n - ceil(threshold * n) + 1 rarest. Each side's rarest grams look for the other's
-    sets that are as large: an equi join of few, rare keys, exact for every pair.
+    The smaller of two sets of n grams shares m = ceil(threshold * n) of them with the larger, so k at least
+    of its n - m + k rarest. Each side's rarest grams look for the other's sets that are as large, and pairs
+    that meet k times are compared: equi joins of few, rare keys, exact for every pair.
     """
-    grams = lambda df, s: scratch.save(df.select(F.col(text).alias(f"{s}_{text}"), F.array_distinct(X.ngrams(F.col(text))).alias(s)), f"grams_{s}")
-    a, b = grams(left, "l"), grams(right, "r")
+    ngrams = lambda df, s: scratch.save(df.select(F.monotonically_increasing_id().alias(f"{s}_id"), F.col(text).alias(f"{s}_{text}"), X.ngrams(F.col(text)).alias(s)).where(F.size(s) > 0), f"grams_{s}")
+    a, b = ngrams(left, "l"), ngrams(right, "r")
     common = scratch.save(b.select(F.explode("r").alias("g")).groupBy("g").agg(F.count("*").alias("n")), "gram_counts")
 
     def rarest(df: DataFrame, s: str) -> DataFrame:
-        rows = df.select(f"{s}_{text}", F.size(s).alias(f"{s}_size"), F.explode(s).alias("g")).join(common, "g", "left")
+        rows = df.select(f"{s}_id", F.size(s).alias(f"{s}_size"), F.explode(s).alias("g")).join(common, "g", "left")
         by = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")))
-        few = F.col(f"{s}_size") - F.ceil(F.lit(threshold) * F.col(f"{s}_size") - F.lit(1e-9)).cast("int") + 1
-        return rows.groupBy(f"{s}_{text}", f"{s}_size").agg(by.alias("by")).select(f"{s}_{text}", f"{s}_size", F.explode(F.slice("by", F.lit(1), few)["g"]).alias("g"))
+        both = F.ceil(F.lit(threshold) * F.col(f"{s}_size") - F.lit(1e-9)).cast("int")
+        k = F.least(F.lit(MEETINGS), both)
+        return rows.groupBy(f"{s}_id", f"{s}_size").agg(by.alias("by")).select(f"{s}_id", f"{s}_size", k.alias("k"), F.explode(F.slice("by", F.lit(1), F.col(f"{s}_size") - both + k)["g"]).alias("g"))
 
-    every = lambda df, s: df.select(f"{s}_{text}", F.size(s).alias(f"{s}_size"), F.explode(s).alias("g"))
+    every = lambda df, s: df.select(f"{s}_id", F.size(s).alias(f"{s}_size"), F.explode(s).alias("g"))
     met = rarest(a, "l").join(every(b, "r"), "g").where("l_size <= r_size").unionByName(rarest(b, "r").join(every(a, "l"), "g").where("r_size < l_size"))
-    met = scratch.save(met.select(f"l_{text}", f"r_{text}").distinct(), "met")
-    return met.where(X.text_contains(F.col(f"l_{text}"), F.col(f"r_{text}"), threshold))
+    met = scratch.save(met.groupBy("l_id", "r_id").agg(F.count("*").alias("n"), F.first("k").alias("k")).where("n >= k").select("l_id", "r_id"), "met")
+    both = met.join(a, "l_id").join(b, "r_id")
+    return both.where(X.overlap_coefficient(F.col("l"), F.col("r")) >= threshold).select(f"l_{text}", f"r_{text}")
 
 
 def suffix_join(left: DataFrame, right: DataFrame, keys: list[str], path: str) -> DataFrame:
