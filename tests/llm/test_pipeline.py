@@ -51,3 +51,21 @@ def test_stages_and_run(spark, tmp_path):
     whole = corpus_pipeline.run(spark, str(tmp_path)).collect()
     key = lambda r: (r.doc_id, r.piece, r.start, r.length, r.ids_crc32)
     assert Counter(map(key, whole)) == Counter(map(key, seen["packing"]))
+
+
+def test_edge_rows_and_empty_tables(spark, tmp_path, edge, edge_rows, empty):
+    labels = spark.createDataFrame([(13, 1, 0), (15, 1, 0), (7, 0, 0), (None, 1, None)], "doc_id bigint, quality int, toxic int")
+    for name, docs in (("edge", edge), ("empty", empty)):
+        path = f"{tmp_path}/{name}"
+        docs.coalesce(1).write.parquet(f"{path}/documents.parquet")
+        labels.write.parquet(f"{path}/labels.parquet")
+        rows = corpus_pipeline.run(spark, path).collect()
+        if name == "empty":
+            assert rows == []
+            continue
+        assert {r.doc_id for r in rows} <= {r[0] for r in edge_rows} and any(r.doc_id == 13 for r in rows)
+        by = {}
+        for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+            assert r.offset == by.get(r.sequence_id, 0)
+            by[r.sequence_id] = r.offset + r.length
+        assert max(by.values()) <= 2048
