@@ -1,4 +1,14 @@
-"""From raw documents to packed training sequences: stages in order, each written before the next reads it."""
+"""From raw documents to packed training sequences: stages in order, each written before the next reads it.
+
+quality draws as large a share as the labels call good, by importance weights; exact_dedup leaves the
+smallest doc_id of equal texts, near_dedup one document of each group of near copies; mixing repeats or
+leaves out documents by their rates; packing gives the pieces and their places in sequences.
+
+Defined results: a null text is an empty one; null ids are kept and come last where ids decide; repeated
+rows are one document after exact_dedup; without good labels all documents pass the first stage; without
+languages all rates are 1; all columns pass through up to packing, whatever their names; an empty table
+gives an empty one.
+"""
 
 from __future__ import annotations
 
