@@ -37,6 +37,7 @@ def exact_duplicates(feat: DataFrame) -> DataFrame:
     """feat with duplicate_of: the first row of equal mode, question, claims (not empty) and sources; approved first, then input order."""
     key = [F.col(c) for c in ("mode", "q_norm", "claims", "answer_sources")]
     ok = (F.col("q_norm") != "") & (F.size("claims") > 0)
+    key.append(F.when(~ok, F.struct("id", "ord")))  # rows that duplicate nothing never meet in one task
     w = Window.partitionBy(*key).orderBy(F.coalesce(F.col("status") == "approved", F.lit(False)).desc(), "ord")
     first = F.first("id").over(w)
     return feat.withColumn("duplicate_of", F.when(ok & (F.row_number().over(w) > 1), first))
