@@ -16,6 +16,8 @@ from .. import ready
 SPACES = r"[\x20\x09-\x0D]+"
 #: A join side of at most so many bytes may be broadcast; beyond it the join shuffles.
 BROADCAST_BYTES = 48 << 20
+#: Frees the shuffle files of a query when it ends, not when the driver happens to collect garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -41,7 +43,12 @@ class Scratch:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        held = self.spark.conf.get(FREE_SHUFFLES, "false")
+        self.spark.conf.set(FREE_SHUFFLES, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.set(FREE_SHUFFLES, held)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
