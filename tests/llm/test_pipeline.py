@@ -4,6 +4,9 @@ import random
 from collections import Counter
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
+from evidra.llm.common import Scratch
 
 from .conftest import WORDS, prose
 from .test_dedup import brute, last, norm
@@ -69,3 +72,16 @@ def test_edge_rows_and_empty_tables(spark, tmp_path, edge, edge_rows, empty):
             assert r.offset == by.get(r.sequence_id, 0)
             by[r.sequence_id] = r.offset + r.length
         assert max(by.values()) <= 2048
+
+
+def test_workers_get_few_bytes_at_once(spark):
+    def look(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    Scratch(spark)
+    docs = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("some words "), 1000).alias("text"))
+    sizes = [r.n for r in docs.mapInArrow(look, "n bigint").collect()]
+    assert max(sizes) < 6 << 20 and sum(sizes) >= 33_000_000
