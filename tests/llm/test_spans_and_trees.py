@@ -235,6 +235,58 @@ def test_near_passages_are_found(spark):
     assert sum(both[1::2]) >= 74 and sum(both[::2]) >= 70
 
 
+def test_passages_alike_one_that_a_pivot_explains(spark):
+    """The second of three is alike the first and the third, which are not alike: the third is tied to the second."""
+    texts = []
+    for i in range(40):
+        p = prose(20_000 + i, 60).split()
+        for k in range(3):
+            q = list(p)
+            q[15] = f"changed{i}" if k else q[15]
+            q[45] = f"other{i}" if k == 2 else q[45]
+            texts.append(" ".join(q))
+    rows = passages.passages(docs_of(spark, texts), Scratch(spark)).collect()
+    links = {(r.class_doc, r.doc_id) for r in rows}
+    assert not any((3 * i, 3 * i + 2) in links for i in range(40))
+    assert sum((3 * i, 3 * i + 1) in links and (3 * i + 1, 3 * i + 2) in links for i in range(40)) >= 37
+
+
+def test_passages_behind_many_unlike_texts(spark):
+    """Pairs whose common block nine smaller documents have amid other words: more than a few pivots would get to."""
+    texts = []
+    for g in range(20):
+        block = prose(30_000 + g, 30)
+        texts += [prose(31_000 + 20 * g + k, 15) + " " + block + " " + prose(32_000 + 20 * g + k, 15) for k in range(9)]
+        texts += [prose(33_000 + g, 15) + " " + block + " " + prose(34_000 + g, 15)] * 2
+    rows = passages.passages(docs_of(spark, texts), Scratch(spark)).collect()
+    assert {r.doc_id for r in rows} == {11 * g + k for g in range(20) for k in (9, 10)}
+
+
+def test_ties_against_brute_force():
+    rng = np.random.default_rng(5)
+    for turn in range(30):
+        base = rng.integers(0, 2**32, (4, 60), np.uint64).astype(np.uint32)
+        tokens = []
+        for _ in range(25):
+            t = base[rng.integers(4)].copy()
+            t[rng.integers(0, 60, rng.integers(0, 9))] = rng.integers(0, 2**32, 1, np.uint64).astype(np.uint32)
+            tokens.append(np.concatenate([base[0][:5], t[rng.integers(0, 5) :]]) if turn % 3 else t[rng.integers(0, 50, 60)])
+        docs = rng.permutation(25).tolist()
+        known = [rng.random(25) < 0.1, rng.random(25) < 0.1]
+
+        def parts(pairs):
+            comp = list(range(25))
+            for i, j in pairs:
+                comp = [comp[j] if c == comp[i] else c for c in comp]
+            return {frozenset(k for k in range(25) if comp[k] == c) for c in comp}
+
+        given = [(i, j) for f in known for i in np.flatnonzero(f).tolist() for j in np.flatnonzero(f).tolist()]
+        want = [(i, j) for i in range(25) for j in range(25) if docs[i] > docs[j] and passages.alike(tokens[i], tokens[j])]
+        got = passages.ties(docs, tokens, known)
+        assert all(docs[i] > docs[j] and found for i, j, found in got)
+        assert parts(given + [(i, j) for i, j, _ in got]) == parts(given + want)
+
+
 def test_window_pairs_against_brute_force():
     rng = np.random.default_rng(3)
     for _ in range(100):
