@@ -287,6 +287,44 @@ def test_ties_against_brute_force():
         assert parts(given + [(i, j) for i, j, _ in got]) == parts(given + want)
 
 
+def test_near_excerpts_leave_no_passage_out():
+    rng = np.random.default_rng(8)
+    for turn in range(30):
+        base = rng.integers(0, 2**32, (3, 90), np.uint64).astype(np.uint32)
+        tokens = []
+        for _ in range(20):
+            t = base[rng.integers(3)].copy()
+            t[rng.integers(0, 90, rng.integers(0, 14))] = rng.integers(0, 2**32, 1, np.uint64).astype(np.uint32)
+            tokens.append(np.concatenate([base[0][:20], t[rng.integers(0, 40) :], t[: rng.integers(0, 60)]]) if turn % 2 else t[rng.integers(0, 40, 70)])
+        near, some = passages.near_excerpts(tokens), 0
+        for i in range(20):
+            found = [j for j in range(20) if passages.alike(tokens[i], tokens[j]) or passages.alike(tokens[j], tokens[i])]
+            assert near(i)[found].all()
+            some += len(found) - 1
+        assert some or not turn % 2
+    line = rng.integers(0, 2**32, 38, np.uint64).astype(np.uint32)
+    unlike = [np.concatenate([line, rng.integers(0, 2**32, 60, np.uint64).astype(np.uint32)]) for _ in range(200)]
+    assert [np.flatnonzero(passages.near_excerpts(unlike)(i)).tolist() for i in (0, 50)] == [[0], [50]]
+
+
+def test_equal_texts_travel_once(spark):
+    """Of copies that meet behind an unlike text, one goes to the comparison with its tokens, once for a key, and all are tied."""
+
+    class Counting(Scratch):
+        def save(self, df, name):
+            out = super().save(df, name)
+            if name == "cuts_pairs":
+                rows.append(out.count())
+            return out
+
+    rows, block = [], prose(40_000, 30)
+    copy = prose(40_001, 15) + " " + block + " " + prose(40_002, 15)
+    texts = [prose(41_000 + k, 15) + " " + block + " " + prose(42_000 + k, 15) for k in range(3)] + [copy] * 50
+    got = passages.passages(docs_of(spark, texts), Counting(spark)).collect()
+    assert {r.doc_id for r in got} == set(range(3, 53))
+    assert 0 < rows[0] <= 4 * 4
+
+
 def test_window_pairs_against_brute_force():
     rng = np.random.default_rng(3)
     for _ in range(100):
