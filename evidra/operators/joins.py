@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import text as X
 
-
+#: Characters of a left table that every task holds as grams (8 bytes each) and as tables of at most 16 MB.
+HELD = 4_000_000
 #: How often the rarest three-grams of two texts must meet before the texts are compared.
 MEETINGS = 8
 
@@ -56,29 +58,118 @@ def blocked_neighbours(rows: DataFrame, keys: list[str], id_col: str, blocks: st
     return spread(met, [*keys, id_col], [f"n_{o}" for o in order], most).select(*keys, id_col, "neighbour")
 
 
-def contained_pairs(left: DataFrame, right: DataFrame, text: str, scratch, threshold: float = 0.78) -> DataFrame:
-    """(l_<text>, r_<text>) of texts whose three-grams have an overlap coefficient of the threshold or more; left is the smaller table.
+def contained_pairs(left: DataFrame, right: DataFrame, text: str, scratch, threshold: float = 0.78, l_keep: list[str] | None = None, r_keep: list[str] | None = None) -> DataFrame:
+    """(l_*, r_*) of rows whose texts' three-grams have an overlap coefficient of the threshold or more; left is the smaller table.
+
+    The kept columns are the texts if none are named. A left table of at most HELD characters goes to every task,
+    which counts what a right text shares with each of its rows: exact, and no gram is shuffled.
+    """
+    l_keep, r_keep = l_keep or [text], r_keep or [text]
+    norm = X.normalized(F.col(text)).alias("__t")
+    a, b = scratch.save(left.select(*l_keep, norm).where("__t <> ''"), "left"), right.select(*r_keep, norm).where("__t <> ''")
+    if (a.agg(F.sum(F.length("__t"))).head()[0] or 0) > HELD:
+        return _contained_by_rarest(a, b, scratch, threshold, l_keep, r_keep)
+    held = a.toArrow()
+    names = [f"l_{c}" for c in l_keep] + [f"r_{c}" for c in r_keep]
+    shape = a.select(*(F.col(c).alias(f"l_{c}") for c in l_keep)).schema.fields + b.select(*(F.col(c).alias(f"r_{c}") for c in r_keep)).schema.fields
+    known = a.sparkSession.sparkContext.broadcast((held.select(l_keep), grams_of(held.column("__t").to_pylist())))
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        rows, grams = known.value
+        parts, seen = gram_tables(grams), {}
+        for batch in batches:
+            at, hit = [], []
+            for i, t in enumerate(batch.column("__t").to_pylist()):
+                found = seen.get(t)
+                if found is None:
+                    if len(seen) >= 20_000:
+                        seen.clear()
+                    found = seen[t] = containing(grams_of([t])[0], parts, threshold)
+                if found.size:
+                    at.append(np.full(found.size, i))
+                    hit.append(found)
+            if at:
+                l, r = rows.take(pa.array(np.concatenate(hit))).combine_chunks(), batch.select(r_keep).take(pa.array(np.concatenate(at)))
+                for b in pa.Table.from_arrays([*l.columns, *r.columns], names).to_batches(50_000):
+                    yield b
+
+    return b.mapInArrow(run, StructType(shape))
+
+
+def grams_of(texts: list[str]) -> list:
+    """The distinct three-grams of each text as sorted integers of three code points; a shorter text is its own."""
+    import numpy as np
+
+    out = []
+    for t in texts:
+        c = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) + 1
+        c = c if c.size >= 3 else np.concatenate([c, np.zeros(3 - c.size, np.int64)])
+        out.append(np.unique(c[:-2] << 42 | c[1:-1] << 21 | c[2:]))
+    return out
+
+
+def gram_tables(grams: list, rows: int = 512, cells: int = 16_000_000) -> list:
+    """(place of the first row, sizes, grams, table of gram by row) of slices of at most `rows` rows and, of several rows, `cells` cells."""
+    import numpy as np
+
+    out, i = [], 0
+    while i < len(grams):
+        n, total = 0, 0
+        while i + n < len(grams) and n < rows and (n == 0 or (total + grams[i + n].size) * (n + 1) <= cells):
+            total += grams[i + n].size
+            n += 1
+        some = grams[i : i + n]
+        vocabulary = np.unique(np.concatenate(some))
+        has = np.zeros((vocabulary.size, n), np.uint8)
+        for j, g in enumerate(some):
+            has[np.searchsorted(vocabulary, g), j] = 1
+        out.append((i, np.array([g.size for g in some]), vocabulary, has))
+        i += n
+    return out
+
+
+def containing(grams, parts: list, threshold: float):
+    """Places of the rows that share the threshold or more of the smaller set's grams."""
+    import numpy as np
+
+    out = []
+    for first, sizes, vocabulary, has in parts:
+        at = np.searchsorted(vocabulary, grams)
+        at[at == vocabulary.size] = 0
+        at = at[vocabulary[at] == grams]
+        both = np.zeros(sizes.size, np.int64)
+        for i in range(0, at.size, 255):  # sums of so many ones fit a byte
+            both += np.add.reduce(has[at[i : i + 255]], axis=0, dtype=np.uint8)
+        out.append(first + np.flatnonzero(both / np.minimum(sizes, grams.size) >= threshold))
+    return np.concatenate(out) if out else np.empty(0, np.int64)
+
+
+def _contained_by_rarest(left: DataFrame, right: DataFrame, scratch, threshold: float, l_keep: list[str], r_keep: list[str]) -> DataFrame:
+    """contained_pairs of two large tables (kept columns, __t).
 
     The smaller of two sets of n grams shares m = ceil(threshold * n) of them with the larger, so k at least
     of its n - m + k rarest. Each side's rarest grams look for the other's sets that are as large, and pairs
     that meet k times are compared: equi joins of few, rare keys, exact for every pair.
     """
-    ngrams = lambda df, s: scratch.save(df.select(F.monotonically_increasing_id().alias(f"{s}_id"), F.col(text).alias(f"{s}_{text}"), X.ngrams(F.col(text)).alias(s)).where(F.size(s) > 0), f"grams_{s}")
-    a, b = ngrams(left, "l"), ngrams(right, "r")
-    common = scratch.save(b.select(F.explode("r").alias("g")).groupBy("g").agg(F.count("*").alias("n")), "gram_counts")
+    ngrams = lambda df, s, keep: scratch.save(df.select(F.monotonically_increasing_id().alias(f"__{s}_id"), *(F.col(c).alias(f"{s}_{c}") for c in keep), X.ngrams(F.col("__t")).alias(f"__{s}")), f"grams_{s}")
+    a, b = ngrams(left, "l", l_keep), ngrams(right, "r", r_keep)
+    common = scratch.save(b.select(F.explode("__r").alias("g")).groupBy("g").agg(F.count("*").alias("n")), "gram_counts")
 
     def rarest(df: DataFrame, s: str) -> DataFrame:
-        rows = df.select(f"{s}_id", F.size(s).alias(f"{s}_size"), F.explode(s).alias("g")).join(common, "g", "left")
+        rows = df.select(f"__{s}_id", F.size(f"__{s}").alias("__size"), F.explode(f"__{s}").alias("g")).join(common, "g", "left")
         by = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "g")))
-        both = F.ceil(F.lit(threshold) * F.col(f"{s}_size") - F.lit(1e-9)).cast("int")
+        both = F.ceil(F.lit(threshold) * F.col("__size") - F.lit(1e-9)).cast("int")
         k = F.least(F.lit(MEETINGS), both)
-        return rows.groupBy(f"{s}_id", f"{s}_size").agg(by.alias("by")).select(f"{s}_id", f"{s}_size", k.alias("k"), F.explode(F.slice("by", F.lit(1), F.col(f"{s}_size") - both + k)["g"]).alias("g"))
+        return rows.groupBy(f"__{s}_id", "__size").agg(by.alias("by")).select(f"__{s}_id", F.col("__size").alias(f"__{s}_size"), k.alias("k"), F.explode(F.slice("by", F.lit(1), F.col("__size") - both + k)["g"]).alias("g"))
 
-    every = lambda df, s: df.select(f"{s}_id", F.size(s).alias(f"{s}_size"), F.explode(s).alias("g"))
-    met = rarest(a, "l").join(every(b, "r"), "g").where("l_size <= r_size").unionByName(rarest(b, "r").join(every(a, "l"), "g").where("r_size < l_size"))
-    met = scratch.save(met.groupBy("l_id", "r_id").agg(F.count("*").alias("n"), F.first("k").alias("k")).where("n >= k").select("l_id", "r_id"), "met")
-    both = met.join(a, "l_id").join(b, "r_id")
-    return both.where(X.overlap_coefficient(F.col("l"), F.col("r")) >= threshold).select(f"l_{text}", f"r_{text}")
+    every = lambda df, s: df.select(f"__{s}_id", F.size(f"__{s}").alias(f"__{s}_size"), F.explode(f"__{s}").alias("g"))
+    met = rarest(a, "l").join(every(b, "r"), "g").where("__l_size <= __r_size").unionByName(rarest(b, "r").join(every(a, "l"), "g").where("__r_size < __l_size"))
+    met = scratch.save(met.groupBy("__l_id", "__r_id").agg(F.count("*").alias("n"), F.first("k").alias("k")).where("n >= k").select("__l_id", "__r_id"), "met")
+    both = met.join(a, "__l_id").join(b, "__r_id")
+    return both.where(X.overlap_coefficient(F.col("__l"), F.col("__r")) >= threshold).select(*(f"l_{c}" for c in l_keep), *(f"r_{c}" for c in r_keep))
 
 
 def suffix_join(left: DataFrame, right: DataFrame, keys: list[str], path: str) -> DataFrame:

@@ -74,3 +74,17 @@ def test_contained_lines_against_brute_force(spark):
     frame = lambda ts: spark.createDataFrame([(t.strip(),) for t in set(ts)], "t string")
     got = {(x.l_t, x.r_t) for x in joins.contained_pairs(frame(left), frame(right), "t", Scratch(spark)).collect()}
     assert got == {(x.strip(), y) for x, y in want}
+
+
+def test_contained_lines_of_a_held_table_shuffle_nothing(spark, monkeypatch):
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdé𝒳") for _ in range(r.randrange(1, 6)))
+    right = [" ".join(word() for _ in range(r.randrange(1, 400 if i % 9 == 0 else 20))) for i in range(90)] + ["ab", "", None]
+    left = [*right[:40], *(x[3:60] for x in right[40:60]), "ab", "a", "", None]
+    frame = lambda ts: spark.createDataFrame(list(enumerate(ts)), "id int, t string")
+    pairs = lambda: joins.contained_pairs(frame(left), frame(right), "t", Scratch(spark), l_keep=["id"], r_keep=["id"])
+    plan = pairs()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan
+    held = sorted(map(tuple, pairs().collect()))
+    monkeypatch.setattr(joins, "HELD", 0)
+    assert held == sorted(map(tuple, pairs().collect())) and len(held) > 60
