@@ -88,3 +88,26 @@ def test_contained_lines_of_a_held_table_shuffle_nothing(spark, monkeypatch):
     held = sorted(map(tuple, pairs().collect()))
     monkeypatch.setattr(joins, "HELD", 0)
     assert held == sorted(map(tuple, pairs().collect())) and len(held) > 60
+
+
+def test_novelty_fold_takes_few_rows_and_equals_the_plain_one(spark, monkeypatch):
+    from evidra.operators import selection
+
+    r = random.Random(3)
+    rows = [(f"c{i:04}" if i != 7 else "c0006", i if i != 7 else 6, "m" if i % 3 else "n", r.choice(["approved", "approved", "rejected"]), r.choice("ab"), r.choice(["g", "h", None]), r.sample("uvwxyz", r.randrange(3)) if i > 9 else ["u", None], r.choice(["history_core", None])) for i in range(900)]
+    c = spark.createDataFrame(rows, "id string, ord int, qa_mode string, status string, type string, evidence_group_id string, fact_ids array<string>, track string").withColumn("difficulty_distance", F.lit(0))
+    types, groups, facts, want = set(), set(), set(), []
+    left = [x for x in rows if x[2] == "m"]
+    while left:
+        best = max(left, key=lambda x: (x[4] not in types, (x[5] or x[0]) not in groups, len(set(x[6]) - facts), x[7] == "history_core"))
+        left.remove(best)
+        if best[3] != "approved" or sum(w[1] is not None for w in want) >= 5:
+            want.append((best[0], None, "not_approved" if best[3] != "approved" else "over_quota"))
+            continue
+        types.add(best[4]), groups.add(best[5] or best[0]), facts.update(best[6])
+        want.append((best[0], sum(w[1] is not None for w in want) + 1, "selected"))
+    took, plain = [], selection._greedy
+    monkeypatch.setattr(selection, "_greedy", lambda key, feat, *more: (took.append(feat.count()), plain(key, feat, *more))[1])
+    got = selection.novelty_select(c, {"m": 5}).collect()
+    assert sorted(((x.id, x.place, x.selection_status) for x in got if x.track == "m"), key=str) == sorted(want, key=str)
+    assert {x.selection_status for x in got if x.track == "n"} == {"not_approved", "unknown_qa_mode"} and len(got) == 900 and took[0] < 450
