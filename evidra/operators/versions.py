@@ -151,25 +151,70 @@ def as_of_join(points: DataFrame, versions: DataFrame, keys: list[str], at: str,
     return both.withColumn("version", F.last("version", True).over(w)).where("__point is not null").select("__point.*", "version")
 
 
+OWN_ANCESTOR = "a version is its own ancestor"
+
+
 def ancestry(versions: DataFrame, scratch) -> DataFrame:
-    """(session_id, version_id, ancestor, distance) over previous, to the first version, by doubling: paths of length 2**k after k joins.
+    """(session_id, version_id, ancestor, distance) over previous, to the first version.
 
-    A version that is its own ancestor is an error.
+    A session's versions meet in one task, which walks up from each and passes on what it finds: the input is
+    shuffled once, the result written once. A version that is its own ancestor is an error.
     """
-    step = versions.where("previous is not null").select("session_id", "version_id", F.col("previous").alias("ancestor"), F.lit(1).alias("distance"))
-    all_, jump = step, step
-    reach = 1
-    while reach < 1 << 30:
-        on = ["session_id", "mid"]
-        more = all_.withColumnRenamed("ancestor", "mid").join(jump.select("session_id", F.col("version_id").alias("mid"), "ancestor", F.col("distance").alias("d2")), on).select("session_id", "version_id", "ancestor", (F.col("distance") + F.col("d2")).alias("distance"))
-        jump = scratch.save(jump.withColumnRenamed("ancestor", "mid").join(jump.select("session_id", F.col("version_id").alias("mid"), "ancestor", F.col("distance").alias("d2")), on).select("session_id", "version_id", "ancestor", (F.col("distance") + F.col("d2")).alias("distance")), f"jump{reach}")
-        all_ = scratch.save(all_.unionByName(more), f"ancestry{reach}")
-        if not jump.where("version_id = ancestor").isEmpty():
-            raise ValueError("a version is its own ancestor")
-        reach *= 2
-        if jump.isEmpty():
-            return all_
-    raise RuntimeError("the ancestry does not end")
+    step = versions.where("previous is not null").select("session_id", "version_id", "previous")
+    shape = step.select("session_id", "version_id", F.col("previous").alias("ancestor"), F.lit(1).alias("distance")).schema
+
+    def run(batches):
+        import pyarrow as pa
+
+        def walk(session, rows):
+            up = {}
+            for v, p in rows:
+                up.setdefault(v, []).append(p)
+            if session is None:  # joins nothing
+                up = {}
+            for v, p in rows:
+                ways = [(p, 1)]
+                while ways:
+                    at, d = ways.pop()
+                    yield session, v, at, d
+                    more = up.get(at, ())
+                    if more and d >= len(up):
+                        raise ValueError(OWN_ANCESTOR)
+                    ways += [(x, d + 1) for x in more]
+
+        def sessions():
+            session, rows = None, []
+            for b in batches:
+                for s, v, p in zip(*(c.to_pylist() for c in b.columns)):
+                    if rows and s != session:
+                        yield session, rows
+                        rows = []
+                    session = s
+                    rows.append((v, p))
+            if rows:
+                yield session, rows
+
+        names, out = ["session_id", "version_id", "ancestor", "distance"], ([], [], [], [])
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        kinds = to_arrow_schema(shape)
+        batch = lambda: pa.RecordBatch.from_arrays([pa.array(x, kinds.field(n).type) for x, n in zip(out, names)], names)
+        for session, rows in sessions():
+            for row in walk(session, rows):
+                for to, x in zip(out, row):
+                    to.append(x)
+                if len(out[0]) >= 50_000:
+                    yield batch()
+                    out = ([], [], [], [])
+        if out[0]:
+            yield batch()
+
+    try:
+        return scratch.save(step.repartition("session_id").sortWithinPartitions("session_id").mapInArrow(run, shape), "ancestry")
+    except Exception as e:
+        if OWN_ANCESTOR in str(e):
+            raise ValueError(OWN_ANCESTOR) from None
+        raise
 
 
 def pair_calls(records: DataFrame) -> DataFrame:

@@ -111,3 +111,17 @@ def test_novelty_fold_takes_few_rows_and_equals_the_plain_one(spark, monkeypatch
     got = selection.novelty_select(c, {"m": 5}).collect()
     assert sorted(((x.id, x.place, x.selection_status) for x in got if x.track == "m"), key=str) == sorted(want, key=str)
     assert {x.selection_status for x in got if x.track == "n"} == {"not_approved", "unknown_qa_mode"} and len(got) == 900 and took[0] < 450
+
+
+def test_ancestry_writes_its_result_once(spark):
+    v = spark.createDataFrame([("s", f"v{i}", f"v{i - 1}" if i else None) for i in range(40)] + [(None, "a", "b"), (None, "b", "c"), ("t", "m", "l"), ("t", "m", "r"), ("t", "l", "z"), ("t", "r", "z"), ("t", None, "m")], "session_id string, version_id string, previous string")
+    saved = []
+
+    class Counting(Scratch):
+        def save(self, df, name):
+            saved.append(name)
+            return super().save(df, name)
+
+    got = sorted(map(tuple, versions.ancestry(v, Counting(spark)).where("session_id is null or session_id = 't'").collect()), key=str)
+    want = [(None, "a", "b", 1), (None, "b", "c", 1), *(("t", "m", x, 1) for x in "lr"), *(("t", x, "z", 1) for x in "lr"), *[("t", "m", "z", 2)] * 2, ("t", None, "m", 1), *(("t", None, x, 2) for x in "lr"), *[("t", None, "z", 3)] * 2]
+    assert got == sorted(want, key=str) and len(saved) == 1
