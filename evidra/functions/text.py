@@ -104,18 +104,28 @@ def labels(text: Column, catalogue: dict[str, str]) -> Column:
     return F.array_sort(F.array_compact(F.array(*(F.when(text.rlike(p), F.lit(n)) for n, p in catalogue.items()))))
 
 
+def holds(text: Column, *stems: str) -> Column:
+    """Whether one of the stems occurs in any case: a cheap condition for patterns that can't match without one."""
+    low = F.translate(F.lower(text), "ſı", "si")  # what (?iu) takes for s and i
+    out = low.contains(stems[0])
+    for s in stems[1:]:
+        out = out | low.contains(s)
+    return out
+
+
 def credential_detected(text: Column) -> Column:
     """Whether the text holds a concrete secret: a known form, or an assignment whose value is no placeholder."""
-    def unsafe(pattern: str) -> Column:
-        values = F.coalesce(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.array().cast("array<string>"))
+    def unsafe(pattern: str, *stems: str) -> Column:
+        values = F.coalesce(F.when(holds(text, *stems), F.regexp_extract_all(text, F.lit(pattern), F.lit(1))), F.array().cast("array<string>"))
         clean = F.transform(values, lambda v: F.regexp_replace(F.btrim(v), r"^[.;]+|[.;]+$", ""))
         return F.exists(clean, lambda v: (v != "") & ~v.rlike(SAFE_VALUE) & ~F.lower(v).startswith("os.environ["))
 
-    known = [text.rlike(p) for p in (PRIVATE_KEY, BEARER, PREFIX_TOKEN, URL_CREDENTIAL)]
-    out = known[0]
-    for k in (*known[1:], unsafe(ASSIGNMENT), unsafe(NATURAL_CREDENTIAL)):
-        out = out | k
-    return F.coalesce(out, F.lit(False))
+    known = [(PRIVATE_KEY, ("-----begin ",)), (BEARER, ("bearer",)), (PREFIX_TOKEN, ("ghp_", "github_pat_", "sk-", "xox")), (URL_CREDENTIAL, ("://",))]
+    out = F.lit(False)
+    for pattern, stems in known:
+        out = out | (holds(text, *stems) & text.rlike(pattern))
+    words = ("api", "access", "secret", "passw", "token")
+    return F.coalesce(out | unsafe(ASSIGNMENT, *words) | unsafe(NATURAL_CREDENTIAL, *words, "凭据", "密码"), F.lit(False))
 
 
 def redact_assignments(text: Column) -> Column:
@@ -125,9 +135,11 @@ def redact_assignments(text: Column) -> Column:
 
 
 def outside_urls(text: Column, change) -> Column:
-    """change applied to what lies between URLs."""
-    runs = found(text, f"{URL}|(?:(?!https?://)[\\s\\S])+|https?://")
-    return F.array_join(F.transform(runs, lambda r: F.when(r.rlike(f"^{URL}"), r).otherwise(change(r))), "")
+    """change applied to what lies between URLs; most texts have none and are changed whole."""
+    t = F.coalesce(text, F.lit(""))
+    runs = found(t, f"{URL}|(?!https?://)[\\s\\S]+?(?=https?://|\\z)|https?://")
+    cut = F.array_join(F.transform(runs, lambda r: F.when(r.rlike(f"^{URL}"), r).otherwise(change(r))), "")
+    return F.when(t.contains("http://") | t.contains("https://"), cut).otherwise(change(t))
 
 
 def redact_paths(text: Column, workspaces: list[str] = ()) -> Column:
@@ -135,7 +147,8 @@ def redact_paths(text: Column, workspaces: list[str] = ()) -> Column:
     def change(run: Column) -> Column:
         for root in sorted(workspaces, key=len, reverse=True):
             run = F.replace(run, F.lit(root), F.lit("<workspace>"))
-        return F.regexp_replace(F.regexp_replace(run, USER_PATH, "~"), INTERNAL_ID, INTERNAL_NAME)
+        homes = F.when(run.contains("Users") | run.contains("/home/"), F.regexp_replace(run, USER_PATH, "~")).otherwise(run)
+        return F.regexp_replace(homes, INTERNAL_ID, INTERNAL_NAME)
 
     return outside_urls(text, change)
 

@@ -125,3 +125,22 @@ def test_ancestry_writes_its_result_once(spark):
     got = sorted(map(tuple, versions.ancestry(v, Counting(spark)).where("session_id is null or session_id = 't'").collect()), key=str)
     want = [(None, "a", "b", 1), (None, "b", "c", 1), *(("t", "m", x, 1) for x in "lr"), *(("t", x, "z", 1) for x in "lr"), *[("t", "m", "z", 2)] * 2, ("t", None, "m", 1), *(("t", None, x, 2) for x in "lr"), *[("t", None, "z", 3)] * 2]
     assert got == sorted(want, key=str) and len(saved) == 1
+
+
+def test_credentials_of_odd_letters_and_long_texts_between_urls(spark):
+    said = {"My pa\u017f\u017fword is hunter22": True, "the to\u212aen is abcd": True, "AP\u0130 KEY: zzz9 and ap\u0131 key is q9": True, "\u5bc6\u7801\u4e3a abc": True, "SK-" + "a" * 16: True, "Bearer abcdefgh": True,
+            "-----BEGIN RSA private KEY-----": True, "HTTPS://a:b@c": True, "token=None": False, "access granted": False, "": False, None: False}
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(said)], "i int, t string").orderBy("i").select(X.credential_detected(F.col("t"))).collect()]
+    assert got == list(said.values())
+    long = "/home/ann x " * 3000
+    texts = {long + "http://h/home/ann?e12 e12 http:// e12\n": "~ x " * 3000 + f"http://h/home/ann?e12 {X.INTERNAL_NAME} http:// {X.INTERNAL_NAME}\n", "e12 C:\\Users\\ann\\x": f"{X.INTERNAL_NAME} ~\\x", "": "", None: ""}
+    got = [r[0] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(X.redact_paths(F.col("t"))).collect()]
+    assert got == list(texts.values())
+
+
+def test_privacy_gate_shuffles_digests(spark):
+    from evidra.operators import selection
+
+    q = spark.createDataFrame([(1, "t" * 50, "en")], "ord int, text string, qa_mode string")
+    plan = selection.privacy_gate(q, "text").select("ord", "gate")._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2(" in plan[plan.index("Window") :]
