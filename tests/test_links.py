@@ -144,3 +144,33 @@ def test_privacy_gate_shuffles_digests(spark):
     q = spark.createDataFrame([(1, "t" * 50, "en")], "ord int, text string, qa_mode string")
     plan = selection.privacy_gate(q, "text").select("ord", "gate")._jdf.queryExecution().optimizedPlan().toString()
     assert "sha2(" in plan[plan.index("Window") :]
+
+
+def test_best_pairs_are_those_of_all_pairs(spark, monkeypatch):
+    r = random.Random(8)
+    words = [f"name{i}" for i in range(60)]
+    some = lambda k, xs=words: r.sample(xs, min(k, len(xs)))
+    rows = [("s" if i % 4 else "t", f"f{i:03}", some(r.randrange(7)), some(r.randrange(2), ["p1", "p2", "p3"]) if i % 4 else [], [f"e{i // 2 if i % 9 == 0 else i}"], some(r.randrange(3), ["failure", "change", "decision"]) if i % 4 else ["constraint"]) for i in range(160)]
+    info = spark.createDataFrame(rows, "session_id string, id string, entities array<string>, paths array<string>, sources array<string>, labels array<string>")
+    info = info.withColumn("stages", F.array().cast("array<string>")).withColumn("lineage", F.col("stages")).withColumn("qa_mode", F.lit("general")).withColumn("observed_failure", F.lit(False)).withColumn("orders", F.array(F.lit(1)))
+    monkeypatch.setattr(evidence, "TILE", 5)
+
+    def top(df):
+        by = {}
+        for x in df.where("linked").collect():
+            for a, b in ((x.a, x.b), (x.b, x.a)):
+                by.setdefault((x.session_id, a), set()).add((-x.score, b))
+        return {k: sorted(v)[:3] for k, v in by.items()}
+
+    whole = evidence.pair_scores(info)
+    assert top(evidence.best_pairs(info, Scratch(spark))) == top(whole)
+    linked = [(x.a, x.b) for x in whole.collect()]
+    share = {(a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and a[1] < b[1] and any(set(a[c]) & set(b[c]) for c in (2, 3, 4))}
+    assert len(linked) == len(set(linked)) and set(linked) == share  # no posting is thinned
+
+
+def test_all_pairs_of_a_common_entity_are_scored(spark):
+    rows = [("s", f"f{i:03}", ["cache"], [f"e{i}"]) for i in range(150)]
+    info = spark.createDataFrame(rows, "session_id string, id string, entities array<string>, sources array<string>").withColumn("paths", F.array().cast("array<string>"))
+    info = info.withColumn("stages", F.col("paths")).withColumn("lineage", F.col("paths")).withColumn("labels", F.col("paths")).withColumn("qa_mode", F.lit("general")).withColumn("observed_failure", F.lit(False)).withColumn("orders", F.array(F.lit(1)))
+    assert evidence.pair_scores(info).count() == 150 * 149 // 2
