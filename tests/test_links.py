@@ -174,3 +174,22 @@ def test_all_pairs_of_a_common_entity_are_scored(spark):
     info = spark.createDataFrame(rows, "session_id string, id string, entities array<string>, sources array<string>").withColumn("paths", F.array().cast("array<string>"))
     info = info.withColumn("stages", F.col("paths")).withColumn("lineage", F.col("paths")).withColumn("labels", F.col("paths")).withColumn("qa_mode", F.lit("general")).withColumn("observed_failure", F.lit(False)).withColumn("orders", F.array(F.lit(1)))
     assert evidence.pair_scores(info).count() == 150 * 149 // 2
+
+
+def test_reviewed_duplicates_fold_only_rows_that_meet(spark, monkeypatch):
+    from evidra.operators import selection
+
+    r = random.Random(4)
+    rows = [(f"c{i:03}", i, "m", r.choice(["approved", "rejected"]), f"q{i if i % 5 else 0}", "target", [(x, r.sample(["a", "b", "c"], 1)) for x in r.sample([f"w{j}" for j in range(8)] if i < 80 else [f"own{i}"], r.randrange(1, 4) if i < 80 else 1)]) for i in range(300)]
+    c = spark.createDataFrame(rows, "id string, ord int, qa_mode string, status string, question string, answer_target string, points array<struct<text:string,sources:array<string>>>")
+    feat = selection.features(c)
+    exact = {x.id: x.duplicate_of for x in selection.exact_duplicates(feat).collect()}
+    kept, want = [], [(i, d) for i, d in exact.items() if d]
+    for x in sorted((x for x in feat.collect() if not exact[x.id]), key=lambda x: tuple(x["rank"])):
+        cl, so = set(x.claims), set(x.answer_sources)
+        win = next((k for k in kept if (k[3] == x.conditions) and so & k[2] and (cl <= k[1] or k[1] <= cl)), None)
+        want.append((x.id, win[0])) if win else kept.append((x.id, cl, so, x.conditions))
+    took, plain = [], selection._greedy
+    monkeypatch.setattr(selection, "_greedy", lambda key, df, *more: (took.append(df.count()), plain(key, df, *more))[1])
+    assert sorted((x.id, x.duplicate_of) for x in selection.reviewed_duplicates(feat, Scratch(spark)).collect()) == sorted(want)
+    assert took[0] <= 80 and len(want) > 5
